@@ -39,15 +39,25 @@ def _ipv6_pattern() -> str:
 _IPV6 = _ipv6_pattern()
 
 
+def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted ranges, with those that overlap or touch joined."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(ranges):
+        if out and low <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
+
+
 def parse_networks(networks: Sequence[str]) -> tuple[list[tuple[int, int]], list[tuple[str, str]]]:
-    """CIDR texts as merged, sorted ranges: IPv4 numbers and IPv6 hex digits."""
+    """CIDR texts as sorted ranges that do not touch: IPv4 numbers and IPv6 hex digits."""
     parsed = [ipaddress.ip_network(text, strict=False) for text in networks]
-    v4 = ipaddress.collapse_addresses(n for n in parsed if n.version == 4)
-    v6 = ipaddress.collapse_addresses(n for n in parsed if n.version == 6)
-    return (
-        [(int(n.network_address), int(n.broadcast_address)) for n in v4],
-        [(f"{int(n.network_address):032x}", f"{int(n.broadcast_address):032x}") for n in v6],
+    v4, v6 = (
+        _merged([(int(n.network_address), int(n.broadcast_address)) for n in parsed if n.version == version])
+        for version in (4, 6)
     )
+    return v4, [(f"{low:032x}", f"{high:032x}") for low, high in v6]
 
 
 def in_ranges(value: Column, ranges: Sequence[tuple]) -> Column:

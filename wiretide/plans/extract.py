@@ -34,8 +34,9 @@ def extract_features(
     order: tuple[str, ...] = TIME_ORDER,
     avg_flow_time: bool = True,
     options: LayoutOptions = LayoutOptions(),
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One feature row per usable packet.
+    """One feature row per usable packet, with the packet columns named in ``keep`` added.
 
     Unusable packets are left out; ``split_valid`` gives them with the reason.
     ``avg_flow_time`` is the one feature that looks across flows and costs a second
@@ -47,4 +48,4 @@ def extract_features(
     scanned = with_direction(scan_flows(rows, config.timeout_us, layout), config.home_networks)
     if avg_flow_time:
         scanned = add_avg_flow_time(scanned, layout)
-    return feature_columns(scanned)
+    return feature_columns(scanned, keep)

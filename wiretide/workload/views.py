@@ -60,11 +60,20 @@ SELECT event_id AS id,
 FROM events
 """
 
-_EVAL_PAIRS = """
+_LABEL = """CASE event_type WHEN 'click' THEN 'BENIGN' WHEN 'error' THEN 'DDOS' WHEN 'purchase' THEN 'BOTNET'
+    WHEN 'signup' THEN 'MALWARE' ELSE 'PORT_SCAN' END"""
+
+_EVAL_PAIRS = f"""
 SELECT event_id AS id, y_true,
   CASE WHEN event_id % 501 = 0 THEN 'PHISHING' WHEN event_id % 7 = 0 THEN 'BENIGN' ELSE y_true END AS y_pred
-FROM (SELECT *, CASE event_type WHEN 'click' THEN 'BENIGN' WHEN 'error' THEN 'DDOS' WHEN 'purchase' THEN 'BOTNET'
-        WHEN 'signup' THEN 'MALWARE' ELSE 'PORT_SCAN' END AS y_true FROM events) e
+FROM (SELECT *, {_LABEL} AS y_true FROM events) e
+"""
+
+# Class probabilities that sum to 1, with ties for the first place.
+_PROBABILITIES = """
+SELECT event_id AS id, (event_id % 5) / 1e1 AS p_benign, (4 - event_id % 5) / 1e1 AS p_ddos,
+  (event_id % 7) / 1e1 AS p_phishing, (6 - event_id % 7) / 1e1 AS p_scan
+FROM events
 """
 
 
@@ -81,6 +90,7 @@ DUCKDB_VIEWS = {
     "packets_v6": _duckdb(_PACKETS_V6),
     "scored": _duckdb(_SCORED),
     "eval_pairs": _duckdb(_EVAL_PAIRS),
+    "probabilities": _duckdb(_PROBABILITIES),
 }
 
 
@@ -92,6 +102,12 @@ def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_spark(_PACKETS).replace("FROM events)", "FROM {events})"), events=events(spark, sf_dir))
 
 
+def labelled_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets with a class that follows the event type, which the protocol tells in part."""
+    text = _PACKETS.replace("AS payload_size\n", f"AS payload_size,\n  {_LABEL} AS label\n")
+    return spark.sql(_spark(text).replace("FROM events)", "FROM {events})"), events=events(spark, sf_dir))
+
+
 def packets_v6(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = _spark(_PACKETS_V6).replace("FROM packets", "FROM {packets}")
     return spark.sql(text, packets=packets(spark, sf_dir))
@@ -103,3 +119,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def eval_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_spark(_EVAL_PAIRS).replace("FROM events)", "FROM {events})"), events=events(spark, sf_dir))
+
+
+def probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(_spark(_PROBABILITIES).replace("FROM events", "FROM {events}"), events=events(spark, sf_dir))
