@@ -60,12 +60,10 @@ def parse_networks(networks: Sequence[str]) -> tuple[list[tuple[int, int]], list
     return v4, [(f"{low:032x}", f"{high:032x}") for low, high in v6]
 
 
-def in_ranges(value: Column, ranges: Sequence[tuple]) -> Column:
-    """True where the value falls in one of the ranges; false for null."""
-    hit = F.lit(False)
-    for low, high in ranges:
-        hit = hit | value.between(low, high)
-    return F.coalesce(hit, F.lit(False))
+def in_ranges(column: str, ranges: Sequence[tuple]) -> Column:
+    """True where the column falls in one of the ranges; false for null."""
+    tests = [f"{column} BETWEEN {low!r} AND {high!r}" for low, high in ranges]
+    return F.expr(f"coalesce({' OR '.join(tests)}, false)") if tests else F.lit(False)
 
 
 def is_ipv6(ip: Column) -> Column:
@@ -117,8 +115,8 @@ def ipv6_hex(ip: Column) -> Column:
 def with_ipv4(df: DataFrame, ip: str, name: str) -> DataFrame:
     """Add an address column's IPv4 number, null where it is not a valid dotted address."""
     parts = F.when(F.col(ip).rlike(_IPV4), F.split(F.col(ip), r"\."))
-    octet = [F.col("_parts")[i].cast("bigint") for i in range(4)]
-    number = octet[0] * 16777216 + octet[1] * 65536 + octet[2] * 256 + octet[3]
+    octets = [f"CAST(_parts[{i}] AS BIGINT) * {256 ** (3 - i)}" for i in range(4)]
+    number = F.expr(" + ".join(octets))
     return df.withColumn("_parts", parts).withColumn(name, number).drop("_parts")
 
 
@@ -144,10 +142,10 @@ def with_direction(df: DataFrame, networks: Sequence[str]) -> DataFrame:
         return df.withColumn("direction", F.lit("UNKNOWN"))
     out = with_ipv4(with_ipv4(df, "src_ip", "_src_v4"), "dst_ip", "_dst_v4")
     for end in ("src", "dst"):
-        at_home = in_ranges(F.col(f"_{end}_v4"), v4)
+        at_home = in_ranges(f"_{end}_v4", v4)
         if v6:
             out = out.withColumn(f"_{end}_v6", ipv6_hex(F.col(f"{end}_ip")))
-            at_home = at_home | in_ranges(F.col(f"_{end}_v6"), v6)
+            at_home = at_home | in_ranges(f"_{end}_v6", v6)
         out = out.withColumn(f"_{end}_home", at_home)
     # An end at home has been read already; only the other one is left to check.
     readable = {

@@ -187,23 +187,24 @@ def duration_change_us() -> Column:
 
 def with_flow_statistics(scanned: DataFrame) -> DataFrame:
     """Add duration, sizes, rates and gap of the flow as of each packet."""
-    duration, seconds = F.col("duration_us"), F.col("flow_duration")
-    packets, size = F.col("total_packets_in_flow"), F.col("total_bytes")
-
-    def rate(total: Column) -> Column:
-        # Without a duration there is no rate yet: the total itself stands in.
-        return F.when(duration <= 0, total.cast("double")).otherwise(total / seconds)
-
-    gap = F.greatest(F.col("ts_us") - F.col("previous_us"), F.lit(0)) / F.lit(float(MICROS))
+    micros = float(MICROS)
     return (
         scanned.withColumn("duration_us", duration_us())
-        .withColumn("flow_duration", duration / F.lit(float(MICROS)))
+        .withColumn("flow_duration", F.col("duration_us") / F.lit(micros))
         .withColumns(
             {
-                "avg_packet_size": size / packets,
-                "packet_rate": rate(packets),
-                "byte_rate": rate(size),
-                "inter_arrival_time": F.when(F.col("is_new") == 0, gap),
+                "avg_packet_size": F.expr("total_bytes / total_packets_in_flow"),
+                # Without a duration there is no rate yet: the total itself stands in.
+                "packet_rate": F.expr(
+                    "CASE WHEN duration_us <= 0 THEN CAST(total_packets_in_flow AS DOUBLE)"
+                    " ELSE total_packets_in_flow / flow_duration END"
+                ),
+                "byte_rate": F.expr(
+                    "CASE WHEN duration_us <= 0 THEN CAST(total_bytes AS DOUBLE) ELSE total_bytes / flow_duration END"
+                ),
+                "inter_arrival_time": F.expr(
+                    f"CASE WHEN is_new = 0 THEN greatest(ts_us - previous_us, 0) / CAST({MICROS} AS DOUBLE) END"
+                ),
             }
         )
     )
