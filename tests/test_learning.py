@@ -2,6 +2,7 @@ import math
 import os
 
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from wiretide import DetectionConfig
@@ -119,6 +120,15 @@ def test_first_of_equal_probabilities_wins(spark):
     assert [tuple(r) for r in out] == [("BENIGN", 40.0), ("DDOS", 45.0), ("UNKNOWN", 100.0)]
 
 
+def test_an_encoding_of_ones_own_is_saved_with_the_model(spark, tmp_path):
+    short = VectorAssembler(inputCols=["packet_length", "packet_rate"], outputCol="_vector")
+    model = create_model("random_forest", encoding=[short], n_estimators=3, max_depth=3).fit(training_table(spark), row_id="id")
+    model.save(str(tmp_path / "m"))
+    copy = create_model("random_forest").load(spark, str(tmp_path / "m"))
+    assert copy.pipeline.stages[-2].numFeatures == 2
+    assert copy.predict(training_table(spark)).count() == training_table(spark).count()
+
+
 def test_encoding(spark):
     row = {c: 1.0 for c in NUMERIC_FEATURES} | {"protocol": "udp", "direction": "INTERNAL", "connection_state": "weird"}
     df = spark.createDataFrame([row, row])

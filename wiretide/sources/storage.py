@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -41,3 +42,19 @@ def shared_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="wiretide-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder within the shared one."""
+    return f"{shared_folder(spark)}/wiretide/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """The table, written to the shared folder and read back.
+
+    For a table that is read several times: what is behind it runs once, reads take
+    only the columns they need, and a lost executor costs no recomputation.
+    """
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

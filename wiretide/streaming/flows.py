@@ -10,8 +10,6 @@ same result.
 
 from __future__ import annotations
 
-import logging
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -27,8 +25,7 @@ from wiretide.operators.sessions import duration_change_us, scan_flows
 from wiretide.plans.extract import feature_columns
 from wiretide.schemas import ExtractionConfig
 from wiretide.sources.storage import children, delete, exists
-
-log = logging.getLogger(__name__)
+from wiretide.streaming.delivery import Handler, deliver
 
 KEPT_VERSIONS = 3
 
@@ -44,8 +41,9 @@ class Totals:
 
 @dataclass(frozen=True)
 class Step:
-    """What one micro-batch gives."""
+    """What one micro-batch gives. All parts come from ``scan``, which is kept until it is unpersisted."""
 
+    scan: DataFrame
     features: DataFrame
     closed_flows: DataFrame
     open_flows: DataFrame
@@ -78,7 +76,7 @@ def advance(
             "initiator_ip",
             F.col("session").alias("sessions"),
         )
-    scanned = with_direction(scan_flows(rows, config.timeout_us, layout, state), config.home_networks)
+    scanned = with_direction(scan_flows(rows, config.timeout_us, layout, state), config.home_networks).persist()
     features = feature_columns(add_avg_flow_time(scanned, layout, totals.duration_us, totals.flows))
 
     # The last record of every session touched, and the sessions that were open before.
@@ -102,7 +100,7 @@ def advance(
         F.greatest(F.max("ts_us"), F.lit(totals.latest_us)).alias("latest_us"),
     )
     return Step(
-        features, sessions.filter("_over").drop("_over"), sessions.filter(~F.col("_over")).drop("_over"), sums
+        scanned, features, sessions.filter("_over").drop("_over"), sessions.filter(~F.col("_over")).drop("_over"), sums
     )
 
 
@@ -136,21 +134,6 @@ class FlowStore:
             delete(self.spark, f"{self.folder}/version={version:012d}")
 
 
-Handler = Callable[[DataFrame, int], None]
-
-
-def isolated(handler: Handler) -> Handler:
-    """A handler whose errors are logged and do not stop the stream."""
-
-    def call(df: DataFrame, batch_id: int) -> None:
-        try:
-            handler(df, batch_id)
-        except Exception:
-            log.exception("handler failed on batch %d", batch_id)
-
-    return call
-
-
 def stream_features(
     packets: DataFrame,
     folder: str,
@@ -166,16 +149,15 @@ def stream_features(
     ``on_features`` gets the features of each micro-batch, ``on_closed`` the flows
     that ended, ``on_rejected`` the unusable packets with the reason. A handler is
     called again with the same number if a micro-batch is repeated, so it should
-    write under that number. Wrap it in ``isolated`` to go on after its errors.
+    write under that number. Wrap it in ``isolated`` to go on after its errors. The
+    trigger and the source's limit on files or offsets bound a micro-batch.
     """
     spark = packets.sparkSession
     store = FlowStore(spark, f"{folder}/state")
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        step = advance(batch, *store.before(batch_id), config, options)
         try:
-            open_flows, totals = store.before(batch_id)
-            step = advance(batch, open_flows, totals, config, options)
             on_features(step.features, batch_id)
             if on_closed is not None:
                 on_closed(step.closed_flows, batch_id)
@@ -183,16 +165,6 @@ def stream_features(
                 on_rejected(split_valid(batch)[1], batch_id)
             store.write(batch_id, step)
         finally:
-            batch.unpersist()
-
-    writer = packets.writeStream.foreachBatch(take).option("checkpointLocation", f"{folder}/checkpoint")
-    return writer.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
-
-
-def write_under_batch(path: str) -> Handler:
-    """A handler that writes each micro-batch as Parquet under its number, replacing an earlier try."""
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            step.scan.unpersist()
 
-    return write
+    return deliver(packets, take, folder, trigger)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +21,8 @@ from wiretide.plans.score import assess, score
 from wiretide.plans.train import create_model, evaluate as evaluate_model, split_and_train
 from wiretide.schemas import ATTACK_CATEGORIES, FEATURE_ORDER, MICROS, PACKET_SCHEMA, DetectionConfig, ExtractionConfig
 from wiretide.sources import storage, tables
-from wiretide.streaming.flows import stream_features, write_under_batch
+from wiretide.streaming.delivery import write_under_batch
+from wiretide.streaming.flows import stream_features
 from wiretide.streaming.summary import flow_summary_stream
 from wiretide.workload import views
 
@@ -42,10 +42,6 @@ def _usable(spark: SparkSession, sf: str) -> DataFrame:
     return po.split_valid(views.packets(spark, sf))[0]
 
 
-def _work_folder(spark: SparkSession, name: str) -> str:
-    return f"{storage.shared_folder(spark)}/wiretide/{name}-{uuid.uuid4().hex}"
-
-
 def packet_filter(spark, sf):
     return po.capture(views.packets(spark, sf)).drop("window_size")
 
@@ -287,7 +283,7 @@ def predictions(spark, sf):
 
 def feature_csv(spark, sf):
     """Features written as CSV with sorted columns and read back."""
-    path = _work_folder(spark, "feature-csv")
+    path = storage.work_folder(spark, "feature-csv")
     tables.write_features_csv(extract_features(views.packets(spark, sf), avg_flow_time=False), path)
     schema = "packet_id long, flow_id string, direction string, total_bytes long, byte_rate double, extra string"
     read = spark.read.option("header", True).csv(path)
@@ -297,7 +293,7 @@ def feature_csv(spark, sf):
 
 def labelled_csv(spark, sf):
     """A labelled data set with odd headers, written as CSV and loaded."""
-    path = _work_folder(spark, "labelled-csv")
+    path = storage.work_folder(spark, "labelled-csv")
     table = views.labelled_packets(spark, sf)
     table.select(
         F.col("packet_id").cast("double").alias(" Flow Duration"),
@@ -311,9 +307,8 @@ def labelled_csv(spark, sf):
 
 
 def _trained(spark, sf):
-    table = extract_features(views.labelled_packets(spark, sf), keep=("label",))
     # Training reads its table several times; the flow scan behind it should run once.
-    table = table.persist()
+    table = storage.materialize(extract_features(views.labelled_packets(spark, sf), keep=("label",)), "training")
     model = create_model("random_forest", **FOREST)
     train, test = split_and_train(model, table, "packet_id")
     return model, train, test
@@ -332,7 +327,7 @@ def train_and_evaluate(spark, sf):
 def saved_model(spark, sf):
     """Rows on which a model and its saved and reloaded copy differ: none."""
     model, _, test = _trained(spark, sf)
-    path = _work_folder(spark, "model")
+    path = storage.work_folder(spark, "model")
     model.save(path)
     copy = create_model("random_forest").load(spark, path)
     left = model.predict(test).select("packet_id", "predicted")
@@ -343,7 +338,7 @@ def saved_model(spark, sf):
 
 def _packet_files(spark, sf) -> str:
     """The packets as a folder of files, for a stream to read."""
-    path = _work_folder(spark, "packets")
+    path = storage.work_folder(spark, "packets")
     views.packets(spark, sf).write.parquet(path)
     return path
 
@@ -354,7 +349,7 @@ def _stream_schema(spark, sf):
 
 def features_stream(spark, sf):
     """Per-packet features from a stream that takes the whole table; the same rows as in batch."""
-    folder = _work_folder(spark, "features-stream")
+    folder = storage.work_folder(spark, "features-stream")
     stream = tables.stream_packets(spark, _packet_files(spark, sf), schema=_stream_schema(spark, sf))
     query = stream_features(stream, folder, write_under_batch(f"{folder}/features"), trigger={"availableNow": True})
     query.awaitTermination()
@@ -363,7 +358,7 @@ def features_stream(spark, sf):
 
 def summary_stream(spark, sf):
     """Flow sessions that a stream over the whole table has given out by its end."""
-    folder = _work_folder(spark, "summary-stream")
+    folder = storage.work_folder(spark, "summary-stream")
     stream = tables.stream_packets(spark, _packet_files(spark, sf), schema=_stream_schema(spark, sf))
     query = (
         flow_summary_stream(stream)
@@ -379,7 +374,7 @@ def summary_stream(spark, sf):
 def score_stream(spark, sf):
     """Predictions on a stream of feature rows, by a model trained on the same table."""
     model, train, test = _trained(spark, sf)
-    folder = _work_folder(spark, "score-stream")
+    folder = storage.work_folder(spark, "score-stream")
     tables.union_rows(train, test).write.parquet(f"{folder}/features")
     schema = spark.read.parquet(f"{folder}/features").schema
     stream = spark.readStream.schema(schema).parquet(f"{folder}/features")
