@@ -59,22 +59,10 @@ def flow_summary(
     """Final record of every flow session.
 
     The running record on a session's last packet is its final record, so the
-    scan needs no second aggregation. Only a hot flow, cut into slices, can leave
-    more than one candidate per session; the one with most packets is final.
+    scan needs no aggregation after it.
     """
-    scanned, layout = _scanned(packets, config, order, options)
-    records = flow_records(scanned.filter("ends_run"))
-    if layout.hot_flows:
-        hot = F.col("flow_hash").isin(*layout.hot_flows)
-        names = [c for c in records.columns if c not in (*FLOW_KEYS, "session")]
-        final = (
-            records.filter(hot)
-            .groupBy(*FLOW_KEYS, "session")
-            .agg(F.max_by(F.struct(*names), "total_packets").alias("_r"))
-            .select(*FLOW_KEYS, "session", "_r.*")
-        )
-        records = records.filter(~hot).unionByName(final)
-    return records.select(*FLOW_COLUMNS)
+    scanned, _ = _scanned(packets, config, order, options)
+    return flow_records(scanned.filter("is_last")).select(*FLOW_COLUMNS)
 
 
 def _seen_until(packets: DataFrame, now_us: int) -> DataFrame:

@@ -87,7 +87,7 @@ def state_as_slices(state: DataFrame) -> DataFrame:
 
 
 def carry_into_slices(summaries: DataFrame, timeout_us: int) -> DataFrame:
-    """What each (flow, slice) finds when it starts: the state after the slices before it."""
+    """What each (flow, slice) finds around it: the state after the slices before, and the next packet."""
     along = Window.partitionBy(*FLOW_KEYS).orderBy("flow_slice")
     run = _running(FLOW_KEYS, ["flow_slice"])
     opened = F.coalesce(_gap(F.col("first_us"), F.col("_previous"), timeout_us), F.lit(True))
@@ -104,8 +104,10 @@ def carry_into_slices(summaries: DataFrame, timeout_us: int) -> DataFrame:
         .withColumn("initiator_ip", F.first("tail_initiator").over(in_episode))
     )
     return after.select(
-        *SLICE_KEYS, *[F.lag(name).over(along).alias(f"_carry_{name}") for name in CARRY_COLUMNS]
-    ).filter(F.col("_carry_last_us").isNotNull())
+        *SLICE_KEYS,
+        *[F.lag(name).over(along).alias(f"_carry_{name}") for name in CARRY_COLUMNS],
+        F.lead("first_us").over(along).alias("_carry_next_us"),
+    ).filter(F.col("_carry_last_us").isNotNull() | F.col("_carry_next_us").isNotNull())
 
 
 def scan_flows(
@@ -115,8 +117,8 @@ def scan_flows(
 
     New columns: ``previous_us`` (previous packet of the flow), ``is_new`` (1 where
     a session starts), ``session`` (its number within the flow), ``session_start_us``,
-    ``initiator_ip``, ``total_packets_in_flow``, ``total_bytes`` and ``ends_run``
-    (true on a session's last packet, and on the last packet of a slice).
+    ``initiator_ip``, ``total_packets_in_flow``, ``total_bytes`` and ``is_last`` (true
+    on a session's last packet).
 
     ``state`` holds one row per flow seen earlier, with ``CARRY_COLUMNS``.
     """
@@ -134,16 +136,17 @@ def scan_flows(
     by_order = Window.partitionBy(*keys).orderBy(*order)
     run = _running(keys, order)
     previous = F.lag("ts_us").over(by_order)
+    following = F.lead("ts_us").over(by_order)
     if carried:
         previous = F.coalesce(previous, F.col("_carry_last_us"))
-    following = F.lead("ts_us").over(by_order)
+        following = F.coalesce(following, F.col("_carry_next_us"))
     scanned = (
         rows.withColumn("previous_us", previous)
         .withColumn("_following", following)
         .withColumn("_n", F.row_number().over(by_order).cast("bigint"))
         .withColumn("_bytes", F.sum("length").over(run))
         .withColumn("is_new", F.coalesce(_gap(ts, F.col("previous_us"), timeout_us), F.lit(True)).cast("bigint"))
-        .withColumn("ends_run", F.coalesce(_gap(F.col("_following"), ts, timeout_us), F.lit(True)))
+        .withColumn("is_last", F.coalesce(_gap(F.col("_following"), ts, timeout_us), F.lit(True)))
     )
     opening = F.struct(
         (F.col("_n") - 1).alias("n"),
@@ -170,7 +173,7 @@ def scan_flows(
         .withColumn("total_packets_in_flow", F.col("_n") - F.col("_base.n"))
         .withColumn("total_bytes", F.col("_bytes") - F.col("_base.bytes"))
     )
-    helpers = ["_following", "_n", "_bytes", "_base", "flow_slice"] + [f"_carry_{c}" for c in CARRY_COLUMNS]
+    helpers = ["_following", "_n", "_bytes", "_base", "flow_slice"] + [f"_carry_{c}" for c in (*CARRY_COLUMNS, "next_us")]
     return out.drop(*helpers)
 
 

@@ -80,7 +80,7 @@ def advance(
     features = feature_columns(add_avg_flow_time(scanned, layout, totals.duration_us, totals.flows))
 
     # The last record of every session touched, and the sessions that were open before.
-    records = flow_records(scanned.filter("ends_run"))
+    records = flow_records(scanned.filter("is_last"))
     if open_flows is not None:
         records = records.unionByName(open_flows.select(*records.columns))
     names = [c for c in records.columns if c not in (*FLOW_KEYS, "session")]
