@@ -1,4 +1,7 @@
-"""One-line summaries and JSON forms of the three record types."""
+"""One-line summaries and JSON forms of the three record types.
+
+The texts of the summaries are fixed values.
+"""
 
 from __future__ import annotations
 
