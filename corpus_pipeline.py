@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wiretide.llm import mixing, packing
-from wiretide.llm.common import read_table
+from wiretide.llm.common import read_table, ship_package
 from wiretide.llm.queries import WORD_TOKENIZER, tokenizer_path
 from wiretide.sources.storage import materialize
 
@@ -27,6 +27,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")

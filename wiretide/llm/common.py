@@ -86,10 +86,11 @@ class Words:
     """Words of many texts at once.
 
     hashes: one 64-bit hash per word, in order; starts[i]:starts[i + 1] are those of
-    text i. chars: code points per word, if asked for.
+    text i. chars: code points per word, if asked for. prefixes: for each asked number of
+    bytes, hashes of the words' first bytes, 0 where a word has no more than these.
     """
 
-    def __init__(self, texts: list, lower: bool = False, chars: bool = False):
+    def __init__(self, texts: list, lower: bool = False, chars: bool = False, prefixes: tuple[int, ...] = ()):
         raws = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
         blob = b"\n".join(raws) + b"\n"
         if lower:
@@ -109,10 +110,14 @@ class Words:
             offset = np.arange(len(solid)) - np.repeat(first, length)
             values = _BYTE[solid] * _powers(int(length.max()))[offset]
             self.hashes = mix64(np.add.reduceat(values, first) + length.astype(U64))
+            if prefixes:
+                sums = np.concatenate([np.zeros(1, dtype=U64), np.cumsum(values, dtype=U64)])
+                self.prefixes = [np.where(length > m, mix64(sums[np.minimum(first + m, len(solid))] - sums[first] + U64(m << 32)), U64(0)) for m in prefixes]
             if chars:
                 self.chars = np.add.reduceat(((solid & 0xC0) != 0x80).astype(np.int64), first)
         else:
             self.hashes = np.zeros(0, dtype=U64)
+            self.prefixes = [self.hashes for _ in prefixes]
             if chars:
                 self.chars = np.zeros(0, dtype=np.int64)
         self.starts = np.concatenate([[0], np.searchsorted(begin, ends)]).astype(np.int64)
@@ -137,3 +142,22 @@ def blocks_of(texts: list, limit: int) -> Iterator[tuple[int, int]]:
         total += size
     if begin < len(texts):
         yield begin, len(texts)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application.
+
+    Needed where it is not installed on them; the workers run functions of these modules.
+    """
+    import shutil
+    import tempfile
+    from pathlib import Path
+
+    context = spark.sparkContext
+    if getattr(context, "_wiretide_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = tempfile.mkdtemp(prefix="wiretide-package-")
+    # The driver's file server hands the archive out, so the folder may be the driver's own.
+    context.addPyFile(shutil.make_archive(f"{target}/{package.name}", "zip", package.parent, package.name))
+    context._wiretide_shipped = True

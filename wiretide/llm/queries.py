@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiretide.llm import mixing, packing, token_files, url_filter
-from wiretide.llm.common import read_table
+from wiretide.llm import language_id, mixing, packing, repetition, token_files, toxicity, url_filter
+from wiretide.llm.common import fold, read_table, ship_package
 from wiretide.sources.storage import materialize, work_folder
 
 WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -36,12 +37,42 @@ def op3_url_filter(spark, sf_dir):
     return url_filter.judge(read_table(spark, sf_dir, "pages"))
 
 
+def op4_language_id(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    part = fold(F.col("doc_id"), 5)
+    model = language_id.fit(docs.filter(part != 0))
+    found = language_id.identify(docs, model, part=part)
+    return found.select("doc_id", (F.col("part") == 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op6_repetition(spark, sf_dir):
+    return repetition.judge(read_table(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark, sf_dir):
     folder = work_folder(spark, "tokens")
     files = token_files.write_token_files(read_table(spark, sf_dir, "documents"), folder, tokenizer_path(BYTE_TOKENIZER))
     return token_files.read_token_files(spark, folder, files)
 
 
+def op8_toxicity(spark, sf_dir):
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    part = fold(F.col("doc_id"), 5)
+    model = toxicity.fit(docs.filter(part != 0), labels.filter(part != 0))
+    found = toxicity.score(docs, model, part=part)
+    return found.select("doc_id", (F.col("part") == 0).alias("held_out"), "score", "predicted")
+
+
+def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_mixing, op3_url_filter, op7_token_files)
+    f.__name__: _with_package(f)
+    for f in (op1_packing, op2_mixing, op3_url_filter, op4_language_id, op6_repetition, op7_token_files, op8_toxicity)
 }
