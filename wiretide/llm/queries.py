@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiretide.llm import language_id, mixing, packing, repetition, token_files, toxicity, url_filter
+from wiretide.llm import language_id, mixing, near_duplicates, packing, repetition, token_files, toxicity, url_filter
 from wiretide.llm.common import fold, read_table, ship_package
 from wiretide.sources.storage import materialize, work_folder
 
@@ -63,6 +63,11 @@ def op8_toxicity(spark, sf_dir):
     return found.select("doc_id", (F.col("part") == 0).alias("held_out"), "score", "predicted")
 
 
+def op9_near_duplicates(spark, sf_dir):
+    # Two-word shingles, as this query's contract has them.
+    return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=2)
+
+
 def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,5 +79,5 @@ def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _with_package(f)
-    for f in (op1_packing, op2_mixing, op3_url_filter, op4_language_id, op6_repetition, op7_token_files, op8_toxicity)
+    for f in (op1_packing, op2_mixing, op3_url_filter, op4_language_id, op6_repetition, op7_token_files, op8_toxicity, op9_near_duplicates)
 }
