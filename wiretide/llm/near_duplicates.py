@@ -6,7 +6,11 @@ which two bitmaps differ tell the similarity of near texts well, so most false c
 end there. Links are confirmed on the whole sets.
 
 Buckets are not expanded into all pairs: every member is first compared with the bucket's
-smallest one, and after that only pairs that are not yet in one component meet.
+center, the member that shares most buckets with most others (for edited copies, their
+original). The members that have the same center in most company are a cluster: those it
+does not link are compared with the rest of it block by block, and a block gives out no
+more links than it has members. After that only pairs that are in different clusters and
+not yet in one component meet.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 48, 6
 SKETCH_BITS = 512
 BLOCK = 2 << 20
+#: Members of a cluster compared at once, and shingles of them at once.
+BLOCK_ROWS, COLUMNS = 400, 8_192
 
 _SEEDS = mix64(np.arange(1, 2 * BANDS * ROWS + 1, dtype=U64))
 _FACTORS = (_SEEDS[: BANDS * ROWS].astype(np.uint32) | np.uint32(1))[:, None]
@@ -149,6 +155,79 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -
     return row_pass(joined, check, "a long, b long")
 
 
+def _linked_blocks(first: list[np.ndarray], second: list[np.ndarray], percent: int) -> np.ndarray:
+    """For sets of two sides, which pairs link: shared elements by products of incidence matrices."""
+    sizes = [np.array([len(x) for x in side]) for side in (first, second)]
+    values, counts = np.unique(np.concatenate([*first, *second]), return_counts=True)
+    values = values[counts > 1]
+    both = np.zeros((len(first), len(second)), dtype=np.float32)
+    for at in range(0, len(values), COLUMNS):
+        part = values[at : at + COLUMNS]
+        matrices = []
+        for side in (first, second):
+            matrix = np.zeros((len(side), len(part)), dtype=np.float32)
+            for i, x in enumerate(side):
+                x = x[np.searchsorted(x, part[0]) : np.searchsorted(x, part[-1], side="right")]
+                place = np.minimum(np.searchsorted(part, x), len(part) - 1)
+                matrix[i, place[part[place] == x]] = 1
+            matrices.append(matrix)
+        both += matrices[0] @ matrices[1].T
+    union = sizes[0][:, None] + sizes[1][None, :] - both
+    return (union > 0) & (100 * both >= percent * union)
+
+
+def _spanning(linked: np.ndarray, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join what `linked` joins, one per node: to the smallest id it reaches."""
+    rows, columns = first.copy(), second.copy()
+    top = np.iinfo(np.int64).max
+    while True:
+        new_rows = np.minimum(rows, np.where(linked, columns[None, :], top).min(axis=1, initial=top))
+        new_columns = np.minimum(columns, np.where(linked, new_rows[:, None], top).min(axis=0, initial=top))
+        if (new_rows == rows).all() and (new_columns == columns).all():
+            break
+        rows, columns = new_rows, new_columns
+    nodes, least = np.concatenate([first, second]), np.concatenate([rows, columns])
+    return nodes[nodes != least], least[nodes != least]
+
+
+def _within_clusters(cluster: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) of cluster members that the center does not link, to all of their cluster.
+
+    cluster: center, doc_id, linked (in the center's component). Rows are dealt out to
+    pairs of blocks of about BLOCK_ROWS; a block of linked rows meets no other such block.
+    """
+    count = lambda c: F.ceil(F.count_if(c) / BLOCK_ROWS).cast("int")
+    linked = F.col("linked")
+    sizes = cluster.groupBy("center").agg(count(linked).alias("in"), count(~linked).alias("out"), F.count_if(linked).alias("n_in"), F.count_if(~linked).alias("n_out"))
+    # One row beside the center has met it already.
+    sizes = sizes.filter("out > 0 and n_in + n_out > 2").drop("n_in", "n_out")
+    rows = cluster.join(sizes, "center").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.when(linked, F.col("in")).otherwise(F.col("out"))).cast("int"))
+    every = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+    met = lambda i, inside, j, side: F.struct(i.alias("i"), F.lit(inside).alias("inside"), j.alias("j"), side.alias("side"))
+    block = F.col("block")
+    of_linked = F.transform(every("out"), lambda i: met(i, True, block, F.lit(1)))
+    of_others = F.concat(
+        F.transform(every("in"), lambda j: met(block, True, j, F.lit(0))),
+        F.transform(every("out"), lambda k: met(F.least(block, k), False, F.greatest(block, k), F.when(block <= k, 0).otherwise(1))),
+    )
+    units = rows.select("center", "doc_id", F.explode(F.when(linked, of_linked).otherwise(of_others)).alias("u")).join(texts, "doc_id")
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        ids, side = table.column("doc_id").to_numpy(), table.column("side").to_numpy()
+        sets = shingle_sets(table.column("text").to_pylist(), shingle)
+        alone = not key[2].as_py() and key[1].as_py() == key[3].as_py()
+        first = np.flatnonzero(side == 0)
+        second = first if alone else np.flatnonzero(side == 1)
+        if not len(first) or not len(second):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        found = _linked_blocks([sets[i] for i in first], [sets[i] for i in second], percent)
+        a, b = _spanning(found, ids[first], ids[second])
+        return pa.table({"a": a, "b": b})
+
+    units = units.select("center", F.col("u.i").alias("i"), F.col("u.inside").alias("inside"), F.col("u.j").alias("j"), F.col("u.side").alias("side"), "doc_id", "text")
+    return units.groupBy("center", "i", "inside", "j").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -165,30 +244,47 @@ def near_duplicates(
     classes = materialize(classes, "classes")
     heads = usable.join(classes.select(*same_set, F.col("first").alias("doc_id")), [*same_set, "doc_id"], "left_semi")
     bands = heads.select("doc_id", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("last"))
-    met = materialize(bands.join(shared.filter("center < last").select("band", "center"), "band"), "met")
+    shared = bands.groupBy("band").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("members"))
+    met = materialize(bands.join(shared.filter("low < high").select("band", "members"), "band"), "met")
+    company = met.groupBy("doc_id").agg(F.sum("members").alias("company"))
+    centers = met.join(company, "doc_id").groupBy("band").agg(F.max(F.struct("company", (-F.col("doc_id")).alias("minus"))).alias("m"))
+    centers = centers.select("band", (-F.col("m.minus")).alias("center"), "m.company")
     sketch = heads.select("doc_id", "n_shingles", *_SKETCH)
     side = lambda c: sketch.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), *[F.col(s).alias(f"{s}_{c}") for s in _SKETCH])
     ids = met.select("doc_id").distinct()
     texts = text_table(docs, id_col, text_col).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     texts = materialize(texts, "met-texts")
 
-    # Every member with the best of its buckets' smallest members.
-    stars = met.filter("doc_id <> center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
+    # Every member with one of its buckets' centers: of the near ones that in most company.
+    stars = met.join(centers, "band").filter("doc_id <> center").select(F.col("center").alias("a"), F.col("doc_id").alias("b"), "company").distinct()
     near = stars.join(side("a"), "a").join(side("b"), "b").filter(_near(percent))
-    apart = sum((F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in _SKETCH), F.lit(0))
-    best = near.groupBy("b").agg(F.min(F.struct(apart.alias("apart"), "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
+    best = near.groupBy("b").agg(F.max(F.struct("company", (-F.col("a")).alias("minus"))).alias("m")).select((-F.col("m.minus")).alias("a"), "b")
+    best = materialize(best, "stars")
     links = materialize(_confirmed(best, texts, shingle, percent), "star-links")
-    joined = materialize(connected_components(links), "components")
-
-    # What is left: pairs of a bucket that no link joins so far.
+    joined = connected_components(links)
+
+    # The others of a cluster with all of it.
+    members = best.select(F.col("a").alias("center"), F.col("b").alias("doc_id"))
+    members = members.unionAll(members.select("center", F.col("center").alias("doc_id")).distinct())
+    placed = members.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    of_center = joined.select(F.col("node").alias("center"), F.col("component").alias("of_center"))
+    placed = placed.join(of_center, "center", "left")
+    linked = F.coalesce("component", "doc_id") == F.coalesce("of_center", "center")
+    inner = materialize(_within_clusters(placed.select("center", "doc_id", linked.alias("linked")), texts, shingle, percent), "cluster-links")
+    links = links.unionAll(inner)
+    joined = connected_components(links)
+
+    # What is left: pairs of a bucket in different clusters that no link joins so far. A
+    # center is compared with its own cluster there, and with others here.
     placed = met.join(joined.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
     placed = placed.select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     split = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("band")
-    rest = materialize(placed.join(split, "band").join(sketch, "doc_id"), "rest")
-    one = lambda c: rest.select("band", F.col("doc_id").alias(c), F.col("component").alias(f"component_{c}"), F.col("n_shingles").alias(f"n_{c}"), *[F.col(s).alias(f"{s}_{c}") for s in _SKETCH])
+    cluster = best.select(F.col("b").alias("doc_id"), F.col("a").alias("center"))
+    rest = placed.join(split, "band").join(sketch, "doc_id").join(cluster, "doc_id", "left").withColumn("center", F.coalesce("center", "doc_id"))
+    rest = materialize(rest, "rest")
+    one = lambda c: rest.select("band", F.col("doc_id").alias(c), F.col("component").alias(f"component_{c}"), F.col("center").alias(f"center_{c}"), F.col("n_shingles").alias(f"n_{c}"), *[F.col(s).alias(f"{s}_{c}") for s in _SKETCH])
     left, right = one("a"), one("b")
-    pairs = left.join(right, (left["band"] == right["band"]) & (F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & _near(percent))
+    pairs = left.join(right, (left["band"] == right["band"]) & (F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & (F.col("center_a") != F.col("center_b")) & _near(percent))
     pairs = pairs.select("a", "b").distinct()
     more = _confirmed(pairs, texts, shingle, percent)
     final = materialize(connected_components(links.unionAll(more)), "components")
