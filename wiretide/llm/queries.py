@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiretide.llm import language_id, mixing, near_duplicates, packing, repetition, token_files, toxicity, url_filter
+from wiretide.llm import interpolation, language_id, mixing, near_duplicates, packing, repetition, token_files, toxicity, url_filter
 from wiretide.llm.common import fold, read_table, ship_package
 from wiretide.sources.storage import materialize, work_folder
 
@@ -68,6 +68,12 @@ def op9_near_duplicates(spark, sf_dir):
     return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=2)
 
 
+def op10_interpolation(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    found = interpolation.score_documents(docs, fold(F.col("doc_id"), 7) != 2)
+    return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,5 +85,5 @@ def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _with_package(f)
-    for f in (op1_packing, op2_mixing, op3_url_filter, op4_language_id, op6_repetition, op7_token_files, op8_toxicity, op9_near_duplicates)
+    for f in (op1_packing, op2_mixing, op3_url_filter, op4_language_id, op6_repetition, op7_token_files, op8_toxicity, op9_near_duplicates, op10_interpolation)
 }
