@@ -4,12 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wiretide.llm import mixing, packing
+from wiretide.llm import language_id, mixing, near_duplicates, packing, repetition
 from wiretide.llm.common import read_table, ship_package
 from wiretide.llm.queries import WORD_TOKENIZER, tokenizer_path
 from wiretide.sources.storage import materialize
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised, by a model of the labelled ones among them."""
+    return language_id.keep_known(docs, language_id.fit(docs))
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the repetition rules."""
+    return repetition.keep_good(docs)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return near_duplicates.keep_one(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     return mixing.mix(docs)
@@ -20,7 +35,13 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer_path(WORD_TOKENIZER))
 
 
-STAGES = [("mix", mix_sources), ("pack", pack)]
+STAGES = [
+    ("language", known_language),
+    ("quality", good_quality),
+    ("near_duplicates", one_of_each),
+    ("mix", mix_sources),
+    ("pack", pack),
+]
 
 # Packing needs the tokenizers library: tests/llm hold run() against a plain version.
 ORACLE_SQL = None

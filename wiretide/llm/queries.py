@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiretide.llm import interpolation, language_id, mixing, near_duplicates, packing, repetition, token_files, toxicity, url_filter
+from wiretide.llm import cover_tree, interpolation, language_id, mixing, near_duplicates, packing, repetition, token_files, toxicity, url_filter
 from wiretide.llm.common import fold, read_table, ship_package
 from wiretide.sources.storage import materialize, work_folder
 
@@ -45,6 +45,10 @@ def op4_language_id(spark, sf_dir):
     return found.select("doc_id", (F.col("part") == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op5_cover_tree(spark, sf_dir):
+    return cover_tree.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op6_repetition(spark, sf_dir):
     return repetition.judge(read_table(spark, sf_dir, "documents"))
 
@@ -85,5 +89,8 @@ def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _with_package(f)
-    for f in (op1_packing, op2_mixing, op3_url_filter, op4_language_id, op6_repetition, op7_token_files, op8_toxicity, op9_near_duplicates, op10_interpolation)
-}
+    for f in (
+        op1_packing, op2_mixing, op3_url_filter, op4_language_id, op5_cover_tree, op6_repetition, op7_token_files,
+        op8_toxicity, op9_near_duplicates, op10_interpolation,
+    )
+}
