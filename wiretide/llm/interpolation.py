@@ -29,7 +29,7 @@ from wiretide.llm.common import U64, Words, blocks_of, pair_hash, text_table
 from wiretide.sources.storage import materialize
 
 #: Characters turned into words at once, and gathered in a chunk.
-BLOCK, CHUNK = 2 << 20, 12 << 20
+BLOCK, CHUNK = 2 << 20, 8 << 20
 CLASSES = 48
 #: Probabilities of held-out tokens are counted to a quarter of a power of two.
 FINENESS = 4
@@ -51,12 +51,25 @@ def _unpack(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).ravel()
 
 
-def _pack_sorted(keys: np.ndarray) -> bytes:
-    return _pack(np.diff(keys, prepend=U64(0)))
+def _pack_sorted(keys: np.ndarray, idle: int = 0) -> bytes:
+    """Sorted keys, of which the lowest `idle` bits are 0."""
+    return _pack(np.diff(keys, prepend=U64(0)) >> U64(idle))
 
 
-def _unpack_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(_unpack(data, U64), dtype=U64)
+def _unpack_sorted(data: bytes, idle: int = 0) -> np.ndarray:
+    return np.cumsum(_unpack(data, U64) << U64(idle), dtype=U64)
+
+
+def idle_bits(tokens: int) -> int:
+    """Bits of a pair's hash that need not travel: with 20 more than count the tokens, one pair in a million shares its key."""
+    return max(0, 64 - 20 - int(max(tokens, 1)).bit_length())
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Row by row, as a chunk is large."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
 
 
 def chunked(docs: DataFrame, train: Column, id_col: str, text_col: str) -> DataFrame:
@@ -99,17 +112,19 @@ def chunked(docs: DataFrame, train: Column, id_col: str, text_col: str) -> DataF
 class Chunk:
     """A chunk's tokens, its word keys and its pair keys, each sorted, with counts in training texts."""
 
-    def __init__(self, train: list, sizes: list, vocabulary: bytes, tokens: bytes):
-        self.sizes = np.array(sizes, dtype=np.int64)
-        self.words = _unpack_sorted(vocabulary)
-        self.tokens = _unpack(tokens, np.uint32).astype(np.int64)
-        self.learn = np.repeat(np.array(train, dtype=bool), self.sizes)
+    def __init__(self, row: dict, idle: int):
+        self.sizes = np.array(row["sizes"], dtype=np.int64)
+        self.words = _unpack_sorted(row["vocabulary"])
+        self.tokens = _unpack(row["tokens"], np.uint32)
+        self.learn = np.repeat(np.array(row["train"], dtype=bool), self.sizes)
         starts = np.cumsum(self.sizes) - self.sizes
         # Before a text's first token stands the begin mark, beyond the vocabulary.
-        self.before = np.concatenate([[0], self.tokens[:-1]])
+        self.before = np.roll(self.tokens, 1)
         self.before[starts] = len(self.words)
         marked = np.append(self.words, BEGIN)
-        self.pairs, self.pair = np.unique(pair_hash(marked[self.before], self.words[self.tokens]), return_inverse=True)
+        keys = pair_hash(marked[self.before], self.words[self.tokens]) >> U64(idle) << U64(idle)
+        self.pairs, pair = np.unique(keys, return_inverse=True)
+        self.pair = pair.astype(np.uint32)
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         words = np.bincount(self.tokens[self.learn], minlength=len(self.words))
@@ -123,27 +138,26 @@ def _slices(keys: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
-def answered(chunks: DataFrame, bits: int) -> DataFrame:
+def answered(chunks: DataFrame, bits: int, idle: int) -> DataFrame:
     """The chunks, each with the corpus counts of its words and pairs: columns answers and, once per slice, types."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for number, train, sizes, vocabulary, tokens in zip(*[batch.column(c).to_pylist() for c in ("chunk", "train", "sizes", "vocabulary", "tokens")]):
-                chunk = Chunk(train, sizes, vocabulary, tokens)
-                columns: list = [[], [], [], []]
-                for i, (keys, counts) in enumerate(zip((chunk.words, chunk.pairs), chunk.counts())):
-                    at = _slices(keys, bits)
-                    for a, b in zip(at[:-1], at[1:]):
-                        columns[2 * i].append(_pack_sorted(keys[a:b]))
-                        columns[2 * i + 1].append(_pack(counts[a:b]))
-                n = len(columns[0])
-                arrays = [pa.array(np.full(n, number)), pa.array(np.arange(n)), *[pa.array(c, type=pa.binary()) for c in columns]]
-                yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "slice", "words", "word_counts", "pairs", "pair_counts"])
+        for row in _rows(batches):
+            chunk = Chunk(row, idle)
+            columns: list = [[], [], [], []]
+            for i, (keys, counts) in enumerate(zip((chunk.words, chunk.pairs), chunk.counts())):
+                at = _slices(keys, bits)
+                for a, b in zip(at[:-1], at[1:]):
+                    columns[2 * i].append(_pack_sorted(keys[a:b], i * idle))
+                    columns[2 * i + 1].append(_pack(counts[a:b]))
+            n = len(columns[0])
+            arrays = [pa.array(np.full(n, row["chunk"])), pa.array(np.arange(n)), *[pa.array(c, type=pa.binary()) for c in columns]]
+            yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "slice", "words", "word_counts", "pairs", "pair_counts"])
 
     def answer(key: tuple, table: pa.Table) -> pa.Table:
         out, types = [], 0
-        for keys, counts in (("words", "word_counts"), ("pairs", "pair_counts")):
-            asked = [_unpack_sorted(x) for x in table.column(keys).to_pylist()]
+        for keys, counts, unused in (("words", "word_counts", 0), ("pairs", "pair_counts", idle)):
+            asked = [_unpack_sorted(x, unused) for x in table.column(keys).to_pylist()]
             values, where = np.unique(np.concatenate(asked), return_inverse=True)
             told = np.concatenate([_unpack(x, np.uint32) for x in table.column(counts).to_pylist()])
             total = np.bincount(where, weights=told, minlength=len(values)).astype(np.uint64)
@@ -177,8 +191,8 @@ class Corpus:
 class Counted:
     """A chunk with corpus counts of every token: of itself, its context, and both together."""
 
-    def __init__(self, row: dict, texts: int):
-        self.chunk = Chunk(row["train"], row["sizes"], row["vocabulary"], row["tokens"])
+    def __init__(self, row: dict, texts: int, idle: int):
+        self.chunk = Chunk(row, idle)
         words = np.concatenate([_unpack(a["words"], np.uint64) for a in row["answers"]]).astype(np.int64)
         pairs = np.concatenate([_unpack(a["pairs"], np.uint64) for a in row["answers"]]).astype(np.int64)
         self.word = words[self.chunk.tokens]
@@ -239,14 +253,14 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     texts = chunks.agg(F.coalesce(F.sum(F.size(F.filter("train", lambda x: x))), F.lit(0))).first()[0]
     # A slice for each chunk or so: both sides of the exchange grow alike.
     bits = max(1, int(max(n, 1) - 1).bit_length())
-    counted = materialize(answered(chunks, bits), "counted")
+    idle = idle_bits(tokens)
+    counted = materialize(answered(chunks, bits, idle), "counted")
     corpus = Corpus(tokens, counted.agg(F.coalesce(F.sum("types"), F.lit(0))).first()[0], texts)
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                found, times = held_out(Counted(row, corpus.texts), corpus)
-                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(times.astype(np.int64))], names=["cell", "n"])
+        for row in _rows(batches):
+            found, times = held_out(Counted(row, corpus.texts, idle), corpus)
+            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(times.astype(np.int64))], names=["cell", "n"])
 
     columns = ["train", "sizes", "vocabulary", "tokens", "answers"]
     histogram = counted.select(*columns).mapInArrow(cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
@@ -255,19 +269,20 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     weights = learn_weights(found["cell"].to_numpy(dtype=np.int64), found["n"].to_numpy(dtype=np.int64), corpus.types)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                counted = Counted(row, corpus.texts)
-                sizes = counted.chunk.sizes
-                starts = np.cumsum(sizes) - sizes
-                w = weights[_class(counted.context)]
-                p = w[:, 0] * _ratio(counted.both, counted.context) + w[:, 1] * _ratio(counted.word, corpus.tokens) + w[:, 2] / (corpus.types + 1)
-                base = np.log10((counted.word + 1) / (corpus.tokens + 1 * (corpus.types + 1)))
-                out = [pa.array(row["ids"], pa.int64()), pa.array(row["train"], pa.bool_()), pa.array(sizes)]
-                out.append(pa.array(np.add.reduceat((counted.word > 0).astype(np.int64), starts)))
-                out.append(pa.array(np.full(len(sizes), corpus.tokens, dtype=np.int64)))
-                out += [pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(np.log10(p), starts))]
-                yield pa.RecordBatch.from_arrays(out, names=["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        for row in _rows(batches):
+            counted = Counted(row, corpus.texts, idle)
+            sizes = counted.chunk.sizes
+            starts = np.cumsum(sizes) - sizes
+            own = _class(counted.context)
+            p = weights[own, 0] * _ratio(counted.both, counted.context)
+            p += weights[own, 1] * _ratio(counted.word, corpus.tokens)
+            p += weights[own, 2] / (corpus.types + 1)
+            base = np.log10((counted.word + 1) / (corpus.tokens + 1 * (corpus.types + 1)))
+            out = [pa.array(row["ids"], pa.int64()), pa.array(row["train"], pa.bool_()), pa.array(sizes)]
+            out.append(pa.array(np.add.reduceat((counted.word > 0).astype(np.int64), starts)))
+            out.append(pa.array(np.full(len(sizes), corpus.tokens, dtype=np.int64)))
+            out += [pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(np.log10(p), starts))]
+            yield pa.RecordBatch.from_arrays(out, names=["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     schema = "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return counted.select("ids", *columns).mapInArrow(score, schema)
