@@ -8,6 +8,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 def make_session() -> SparkSession:
+    """A local session; its shared folder is a temporary one unless the installation names one."""
     spark = (
         SparkSession.builder.master("local[8]")
         .appName("wiretide-tests")
