@@ -35,13 +35,19 @@ def fresh_name(columns: list[str], name: str) -> str:
     return name
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in parts, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def row_pass(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Batch by batch over the rows, without a shuffle."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
+        for part in slices(batches):
+            yield work(part)
 
     return df.mapInArrow(over, schema)
 
@@ -50,10 +56,9 @@ def filter_pass(df: DataFrame, text_col: str, keep: Callable[[list], np.ndarray]
     """The rows whose texts `keep` accepts, with all their columns, without a shuffle."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                mask = np.asarray(keep(batch.column(text_col).to_pylist()), dtype=bool)
-                yield batch.filter(pa.array(mask))
+        for part in slices(batches):
+            mask = np.asarray(keep(part.column(text_col).to_pylist()), dtype=bool)
+            yield part.filter(pa.array(mask))
 
     return df.mapInArrow(over, df.schema)
 

@@ -25,11 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wiretide.llm.common import U64, Words, blocks_of, pair_hash, text_table
+from wiretide.llm.common import U64, Words, blocks_of, pair_hash, slices, text_table
 from wiretide.sources.storage import materialize
 
 #: Characters turned into words at once, and gathered in a chunk.
-BLOCK, CHUNK = 2 << 20, 8 << 20
+BLOCK, CHUNK = 1 << 20, 8 << 20
 CLASSES = 48
 #: Probabilities of held-out tokens are counted to a quarter of a power of two.
 FINENESS = 4
@@ -88,7 +88,7 @@ def chunked(docs: DataFrame, train: Column, id_col: str, text_col: str) -> DataF
             names = ["chunk", "ids", "train", "sizes", "vocabulary", "tokens", "trained"]
             return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], names=names)
 
-        for batch in batches:
+        for batch in slices(batches):
             some_ids, texts, some_flags = (c.to_pylist() for c in batch.columns)
             for begin, end in blocks_of(texts, BLOCK):
                 words = Words(texts[begin:end], lower=True)

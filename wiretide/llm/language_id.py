@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wiretide.llm.common import filter_pass, row_pass, text_table
+from wiretide.llm.common import filter_pass, row_pass, slices, text_table
 from wiretide.sources.storage import materialize
 
 UNKNOWN = "und"
@@ -124,7 +124,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, texts, picked = np.zeros(BINS, dtype=np.int64), 0, []
-        for batch in batches:
+        for batch in slices(batches):
             for text, lang, take, draw in zip(*[c.to_pylist() for c in batch.columns]):
                 if not text or not has_letter(text):
                     continue

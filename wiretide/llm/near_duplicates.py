@@ -31,7 +31,7 @@ SHINGLE, PERCENT = 5, 80
 #: At 0.8 one of 48 bands of 6 agrees but for 5 in 10 million pairs.
 BANDS, ROWS = 48, 6
 SKETCH_BITS = 512
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 #: Members of a cluster compared at once, and shingles of them at once.
 BLOCK_ROWS, COLUMNS = 400, 8_192
 

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wiretide.llm.common import text_table
+from wiretide.llm.common import slices, text_table
 from wiretide.llm.tokens import encoder
 from wiretide.sources.storage import materialize
 
@@ -180,7 +180,7 @@ def pack_documents(
         encode = encoder(tokenizer, drops_space)
         rows = _Rows(TaskContext.get().partitionId(), tiers)
         held, tokens = [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = encode.ids(text, end_id)
                 held.append(Piece(doc, 0, ids, len(ids)))

@@ -22,7 +22,7 @@ LEAST_WORDS, MOST_REPEATED_PERCENT, WINDOW = 50, 50, 3
 #: repeats, and most words of one repeat.
 LEAST_REPEAT, MOST_COVERED, LONGEST_REPEAT = 8, 0.3, 200
 #: Characters sorted at once.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 
 def suffix_array(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wiretide.llm.common import text_table
+from wiretide.llm.common import slices, text_table
 from wiretide.llm.tokens import encoder
 from wiretide.sources.storage import materialize
 
@@ -162,7 +162,7 @@ def write_token_files(
             number += 1
             out.clear()
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 out.add(doc, encode.ids(text, end_id))
                 if out.size >= FILE_BYTES:

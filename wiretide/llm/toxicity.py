@@ -29,7 +29,7 @@ POSITIVES, UNLABELLED = 2_000, 6_000
 #: Features: in at least LEAST_TEXTS positives, the FEATURES that set them apart most.
 LEAST_TEXTS, CANDIDATES, FEATURES = 4, 30_000, 1_500
 STEPS, RATE, DECAY = 400, 0.05, 1e-4
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 ENTRY = np.dtype([("place", "<u2"), ("amount", "<f4")])
 
 
