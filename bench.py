@@ -8,6 +8,7 @@ its time is the median. All result columns are computed and thrown away.
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -37,6 +38,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="wiretide-"))
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")

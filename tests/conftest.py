@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -8,13 +9,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 def make_session() -> SparkSession:
-    """A local session; its shared folder is a temporary one unless the installation names one."""
+    """A local session; its shared folder is a temporary one."""
     spark = (
         SparkSession.builder.master("local[8]")
         .appName("wiretide-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="wiretide-"))
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")

@@ -1,17 +1,17 @@
 import math
-import os
 
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from wiretide import DetectionConfig
-from wiretide.operators import encode, evaluate, split
+from wiretide.operators import encode, evaluate, packets, split
+from wiretide.operators.split import with_split
 from wiretide.plans.score import assess, score
 from wiretide.plans.train import create_model, register_model, random_forest, split_and_train
 from wiretide.plans.train import evaluate as evaluate_model
 from wiretide.schemas import FEATURE_ORDER, NUMERIC_FEATURES, PREDICTION_SCHEMA
-from wiretide.sources import tables
+from wiretide.sources import storage, tables
 from wiretide.sources.models import load_pipeline, model_exists
 
 # One row per class: packet_length, total_bytes, packet_rate, protocol, direction, state.
@@ -222,7 +222,47 @@ def test_feature_csv(spark, tmp_path):
     back = spark.read.option("header", True).csv(path)
     assert back.columns == ["a", "b", "extra"]
     assert tables.write_features_csv(df.limit(0), path) == 0
-    assert not os.path.exists(path)
+    assert spark.read.option("header", True).csv(path).count() == 3
+
+
+def test_quoted_csv(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('ttl,protocol,label\n5,"TC""P","a\nddos"\n7,UDP,benign\n')
+    rows = tables.read_labelled_csv(spark, str(tmp_path / "a.csv"), multi_line=True).orderBy("ttl").collect()
+    assert len(rows) == 2 and rows[0]["protocol"] == 'TC"P'
+
+
+def test_unreadable_optional_fields_go_to_the_dead_letters(spark):
+    table = spark.createDataFrame(
+        [(1, {"ttl": "64.x"}), (2, {"ttl": "64"}), (3, {"payload_size": None}), (4, {"payload_size": "many"})], "packet_id long, extra map<string,string>"
+    ).selectExpr("*", "'1.1.1.1' src_ip", "'2.2.2.2' dst_ip", "100L length", "1L ts_us", "'UDP' protocol")
+    usable, rejected = packets.split_valid(table)
+    assert {r["packet_id"]: r["error"] for r in rejected.collect()} == {1: "ttl is unreadable", 4: "payload_size is unreadable"}
+    assert {r["packet_id"]: r["ttl"] for r in packets.with_metadata(usable).collect()} == {2: 64, 3: None}
+    assert packets.with_metadata(table).count() == 4
+
+
+def test_a_limit_takes_no_packets_without_a_time(spark):
+    table = spark.createDataFrame([(1, None), (2, 5), (3, 1)], "packet_id long, ts_us long")
+    assert [r["packet_id"] for r in packets.capture_limit(table, 2).orderBy("ts_us").collect()] == [3, 2]
+
+
+def test_no_shared_folder_is_invented():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.shared_folder(Session())
+
+
+def test_rows_without_a_label_are_never_test_rows(spark):
+    table = spark.range(100).select("id", F.when(F.col("id") % 2 == 0, "a").alias("label"))
+    marked = with_split(table, "label", "id").collect()
+    assert sum(r["split"] == "test" for r in marked if r["label"]) == 10
+    assert {r["split"] for r in marked if not r["label"]} == {"train"}
 
 
 def test_union_of_different_rows(spark):

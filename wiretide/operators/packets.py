@@ -16,6 +16,9 @@ TOP_N_ROWS = 100_000
 # A packet without one of these cannot be assigned to a flow or counted.
 REQUIRED = ("src_ip", "dst_ip", "length", "ts_us")
 
+# Optional fields that are numbers, and their types.
+NUMBERS = {"ttl": "int", "window_size": "int", "payload_size": "bigint"}
+
 
 def drop_malformed(packets: DataFrame) -> DataFrame:
     """Drop packets without addresses or length."""
@@ -49,8 +52,13 @@ def capture_limit(
     timeout_seconds: float | None = None,
     options: LayoutOptions = LayoutOptions(),
 ) -> DataFrame:
-    """The first packets of a capture, by number (0 is no limit) and by time since the first one."""
-    out = packets
+    """The first packets of a capture, by number (0 is no limit) and by time since the first one.
+
+    Packets without a time are not among the first of anything and are left out.
+    """
+    out = packets.filter(F.col("ts_us").isNotNull())
+    if packet_count <= 0 and timeout_seconds is None:
+        return packets
     if timeout_seconds is not None:
         end = packets.agg(F.min("ts_us").alias("t")).scalar() + round(timeout_seconds * MICROS)
         out = out.filter(F.col("ts_us") < end)
@@ -63,11 +71,14 @@ def capture_limit(
     return ranked.filter(F.col("_rank") <= packet_count).drop("_one", "_rank")
 
 
-def packet_error() -> Column:
-    """Why a packet cannot be used, null where it can."""
+def packet_error(columns: list[str]) -> Column:
+    """Why a packet cannot be used, null where it can: a missing field, or an optional one that is no number."""
     error = F
     for name in REQUIRED:
         error = error.when(F.col(name).isNull(), f"{name} is missing")
+    for name in NUMBERS if "extra" in columns else ():
+        value = extra_field(F.col("extra"), name)
+        error = error.when(value.isNotNull() & value.try_cast(NUMBERS[name]).isNull(), f"{name} is unreadable")
     return error.otherwise(F.lit(None).cast("string"))
 
 
@@ -79,7 +90,10 @@ def split_valid(packets: DataFrame) -> tuple[DataFrame, DataFrame]:
     usable = packets
     for name in REQUIRED:
         usable = usable.filter(F.col(name).isNotNull())
-    rejected = packets.withColumn("error", packet_error()).filter(F.col("error").isNotNull())
+    error = packet_error(packets.columns)
+    if "extra" in packets.columns:
+        usable = usable.filter(error.isNull())
+    rejected = packets.withColumn("error", error).filter(F.col("error").isNotNull())
     return usable, rejected
 
 
@@ -94,10 +108,10 @@ def with_metadata(packets: DataFrame) -> DataFrame:
         extra = F.col("extra")
         return packets.withColumns(
             {
-                "ttl": extra_field(extra, "ttl").cast("int"),
+                "ttl": extra_field(extra, "ttl").try_cast("int"),
                 "tcp_flags": extra_field(extra, "tcp_flags").cast("string"),
-                "window_size": extra_field(extra, "window_size").cast("int"),
-                "payload_size": extra_field(extra, "payload_size", estimate.cast("string")).cast("bigint"),
+                "window_size": extra_field(extra, "window_size").try_cast("int"),
+                "payload_size": extra_field(extra, "payload_size", estimate.cast("string")).try_cast("bigint"),
             }
         )
     typed = {

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,16 +31,11 @@ def children(spark: SparkSession, path: str) -> list[str]:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the session names it.
-
-    Only where the session names none, as in a local test, is a temporary folder
-    made and set.
-    """
+    """The folder all executors can reach, as the session names it; none is invented."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="wiretide-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+        raise RuntimeError("set spark.checkpoint.dir, when the session is built, to a folder that driver and executors share")
+    return folder.rstrip("/")
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
