@@ -143,6 +143,10 @@ def write_token_files(
     table = text_table(docs, id_col, text_col)
     draw = F.xxhash64(F.lit("dictionary"), F.col("doc_id"))
     short = table.filter(F.length("text") <= SAMPLE_CHARS)
+    # Below this draw lie about twice the documents wanted, so tasks send the driver no text that cannot be among them.
+    share = 2 * SAMPLE_DOCS / max(docs.count(), 1)
+    if share < 1:
+        short = short.filter(draw < F.lit(int(share * (1 << 64)) - (1 << 63)))
     picked = [r[0] for r in short.select("text", draw.alias("draw")).orderBy("draw").limit(SAMPLE_DOCS).collect()]
     encode = encoder(tokenizer, drops_space)
     dictionary = train_dictionary([encode.ids(t, end_id).tobytes() for t in picked])
