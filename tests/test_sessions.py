@@ -19,7 +19,7 @@ PACKET = (
     " tcp_flags string"
 )
 # Cuts even the smallest inputs.
-FINE = LayoutOptions(single_task_bytes=0, rows_per_slice=7)
+FINE = LayoutOptions(rows_per_slice=7)
 
 
 def packet(i, seconds, length=100, src="192.168.1.10", dst="8.8.8.8", sport=50000, dport=443, protocol="TCP", flags=None):
@@ -155,7 +155,7 @@ def busy_table(spark, n=4000):
     )
 
 
-CUT = LayoutOptions(single_task_bytes=0, rows_per_slice=200)
+CUT = LayoutOptions(rows_per_slice=200)
 
 
 def test_layout_cuts_hot_flows_and_crowded_instants(spark):

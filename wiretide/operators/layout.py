@@ -30,13 +30,8 @@ SAMPLE_ROWS_PER_SLICE = 40
 
 @dataclass(frozen=True)
 class LayoutOptions:
-    """When and how finely to cut.
+    """How finely to cut: an input of no more than ``rows_per_slice`` rows is one slice."""
 
-    An input that Spark estimates at no more than ``single_task_bytes`` is not
-    cut and not sampled: even one key with all its rows fits one task.
-    """
-
-    single_task_bytes: int = 256 << 20
     rows_per_slice: int = 1_000_000
     max_slices: int = 20_000
 
@@ -97,21 +92,14 @@ class Layout:
         return sliced.withColumn(name, F.when(hot, F.col(name)).otherwise(-1))
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's size estimate for a plan, from file sizes; no job is run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
 def plan_layout(
     rows: DataFrame, order: tuple[str, ...] = TIME_ORDER, options: LayoutOptions = LayoutOptions()
 ) -> Layout:
     """Choose cut points for ``rows``, and hot flows if it has a ``flow_hash`` column.
 
-    For inputs beyond the single-task size this runs two narrow jobs, a count and
-    a sample of at most about ``40 * max_slices`` rows of two or three longs.
+    Runs a narrow count and, where there is more than one slice, a sample of at most
+    about ``40 * max_slices`` rows of two or three longs.
     """
-    if estimated_bytes(rows) <= options.single_task_bytes:
-        return Layout(order)
     n = rows.count()
     slices = min(options.max_slices, -(-n // options.rows_per_slice))
     if slices <= 1:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ipaddress
+
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from wiretide.functions.netaddr import direction_of, ipv6_hex, is_ipv6, parse_networks, with_direction, with_ipv4
 
@@ -17,20 +21,28 @@ INLINE_NETWORKS = 32
 def with_direction_by_table(packets: DataFrame, networks: DataFrame, column: str = "cidr") -> DataFrame:
     """Add each packet's direction relative to the networks of a table.
 
-    The number of networks is checked first. A long IPv4 list becomes one sorted
-    list of range ends and each address is placed in it by binary search, so the
-    packets are neither joined nor shuffled. Beyond ``LISTED_NETWORKS``, or with
-    many IPv6 networks, the distinct addresses are joined with the networks.
+    Every network is read first, where the table lies: as for a list, one that
+    cannot be read makes every direction UNKNOWN, however many there are. Their
+    number then only chooses how addresses are looked up. A long IPv4 list becomes
+    one sorted list of range ends and each address is placed in it by binary search,
+    so the packets are neither joined nor shuffled. Beyond ``LISTED_NETWORKS``, or
+    with many IPv6 networks, the distinct addresses are joined with the networks.
     """
-    found = [r[0] for r in networks.select(column).distinct().limit(LISTED_NETWORKS + 1).collect()]
+    distinct = networks.select(F.col(column).alias("cidr")).distinct()
+    read = distinct.withColumn("_read", _network_digits(F.col("cidr")))
+    total, unreadable, wide = read.agg(
+        F.count(F.lit(1)),
+        F.count_if(F.col("_read").isNull()),
+        F.count_if(F.col("_read").startswith("6")),
+    ).first()
+    if unreadable:
+        return packets.withColumn("direction", F.lit("UNKNOWN"))
+    if total > LISTED_NETWORKS or wide > INLINE_NETWORKS < total:
+        return _by_join(packets, read.select("_read"))
+    found = [r["cidr"] for r in distinct.collect()]
     if len(found) <= INLINE_NETWORKS:
         return with_direction(packets, found)
-    try:
-        v4, v6 = parse_networks(found)
-    except ValueError:
-        return packets.withColumn("direction", F.lit("UNKNOWN"))
-    if len(found) > LISTED_NETWORKS or len(v6) > INLINE_NETWORKS:
-        return _by_join(packets, networks.select(F.col(column).alias("cidr")))
+    v4, v6 = parse_networks(found)
     out = with_ipv4(with_ipv4(packets, "src_ip", "_src_v4"), "dst_ip", "_dst_v4")
     for end in ("src", "dst"):
         # Ranges do not touch, so bucket numbers are odd exactly inside a range.
@@ -64,15 +76,34 @@ def _hex_digits(df: DataFrame, ip: str, name: str) -> DataFrame:
     return with_ipv4(df, ip, "_v4").withColumn(name, F.coalesce(v4, F.concat(F.lit("6"), ipv6_hex(F.col(ip))))).drop("_v4")
 
 
+def _network_digits(cidr: Column) -> Column:
+    """A network as the digits of its base behind its kind, and its bits: "40a000000/8"; null if unreadable.
+
+    The column is one of networks, never of packets, so Python costs little here and
+    reads a network exactly as it is read from a list.
+    """
+
+    def read(text: str | None) -> str | None:
+        try:
+            network = ipaddress.ip_network(text, strict=False)
+        except ValueError:
+            return None
+        base = f"{int(network.network_address):0{network.max_prefixlen // 4}x}"
+        return f"{network.version}{base}/{network.prefixlen}"
+
+    @F.pandas_udf(StringType())
+    def digits(texts: pd.Series) -> pd.Series:
+        return texts.map(read)
+
+    return digits(cidr)
+
+
 def _prefixes(networks: DataFrame) -> DataFrame:
     """Every network as the hex prefixes it consists of, at most eight each."""
-    split = networks.select(
-        F.split_part("cidr", F.lit("/"), F.lit(1)).alias("base"),
-        F.when(F.col("cidr").contains("/"), F.split_part("cidr", F.lit("/"), F.lit(2)).cast("int")).alias("_bits"),
+    digits = networks.select(
+        F.split_part("_read", F.lit("/"), F.lit(1)).alias("_digits"),
+        F.split_part("_read", F.lit("/"), F.lit(2)).cast("int").alias("_bits"),
     )
-    digits = _hex_digits(split, "base", "_digits")
-    size = F.length("_digits") - 1
-    digits = digits.withColumn("_bits", F.coalesce(F.col("_bits"), size * 4))
     whole = F.floor(F.col("_bits") / 4).cast("int")
     spare = F.when(F.col("_bits") % 4 == 0, 0).otherwise(4 - F.col("_bits") % 4).cast("int")
     digits = digits.withColumns({"_whole": whole, "_spare": spare})

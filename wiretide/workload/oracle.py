@@ -193,6 +193,14 @@ ORACLE_SQL = {
           src_ip IN (SELECT src_ip FROM good WHERE src_ip LIKE '192.168.1.%') AS s,
           dst_ip IN (SELECT src_ip FROM good WHERE src_ip LIKE '192.168.1.%') AS d FROM good) g"""
     ),
+    "direction_by_table_join": _sql(
+        """SELECT packet_id, CASE WHEN src_ip NOT LIKE '%.%' OR dst_ip NOT LIKE '%.%' THEN 'UNKNOWN'
+          WHEN s AND d THEN 'INTERNAL' WHEN s THEN 'OUTBOUND' WHEN d THEN 'INBOUND' ELSE 'UNKNOWN' END AS direction
+        FROM (SELECT *,
+          regexp_full_match(src_ip, '10[.].*|192[.]168[.]1[.]([0-9]|1[0-5])|93[.]184[.]216[.][0-2]') AS s,
+          regexp_full_match(dst_ip, '10[.].*|192[.]168[.]1[.]([0-9]|1[0-5])|93[.]184[.]216[.][0-2]') AS d FROM good) g"""
+    ),
+    "direction_by_table_unreadable": _sql("SELECT packet_id, 'UNKNOWN' AS direction FROM good"),
     "tcp_state": _sql(f"SELECT packet_id, tcp_flags, {_STATE} AS connection_state FROM packets"),
     "payload_size": _sql(f"SELECT packet_id, {_PAYLOAD} AS payload_size FROM good"),
     "extra_fields": _sql(
@@ -333,3 +341,9 @@ ORACLE_SQL = {
         WHERE last_seen_us + {_TIMEOUT} <= ((SELECT max(ts_us) FROM good) - 10000000) // 1000 * 1000"""
     ),
 }
+
+# The cut queries ask the same of the packets with a hot flow and a crowded instant.
+for _name in ("full_features", "active_flow_timeline", "flow_summary"):
+    _text = ORACLE_SQL[_name].replace("SELECT * FROM packets\n", "SELECT * FROM packets_hot\n")
+    _hot = DUCKDB_VIEWS["packets_hot"]
+    ORACLE_SQL[f"{_name}_cut"] = _text.replace("good AS (", f"packets_hot AS ({_hot}),\ngood AS (", 1)

@@ -13,7 +13,7 @@ from wiretide.functions.flowkey import with_endpoints, with_flow_identity
 from wiretide.functions.netaddr import with_direction
 from wiretide.operators import encode, evaluate, flows, networks
 from wiretide.operators import packets as po
-from wiretide.operators.layout import plan_layout
+from wiretide.operators.layout import LayoutOptions, plan_layout
 from wiretide.operators.sessions import scan_flows
 from wiretide.operators.split import with_split
 from wiretide.plans.extract import extract_features
@@ -35,7 +35,8 @@ FIXED_NOW = float(views.EPOCH_US // MICROS)
 # Forest of the registered training queries; the library default is 200 trees without a depth.
 FOREST = {"n_estimators": 20, "max_depth": 10}
 
-FLOW_RESULT = [c for c in flows.FLOW_COLUMNS]
+# So fine that even small tables take the way of large ones: slices, hot flows, crowded instants.
+CUT = LayoutOptions(rows_per_slice=700)
 
 
 def _usable(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,6 +97,26 @@ def direction_by_table(spark, sf):
     return networks.with_direction_by_table(packets, home.distinct()).select("packet_id", "direction")
 
 
+def direction_by_table_join(spark, sf):
+    """As many networks as there are packets, IPv6 ones among them and two with a netmask."""
+    packets = _usable(spark, sf)
+    number = F.col("packet_id")
+    cidr = (
+        F.when(number % 5 == 0, F.concat(F.lit("fd00:"), F.hex(number % 65536), F.lit("::/33")))
+        .when(number % 5 == 1, "10.0.0.0/255.0.0.0")
+        .when(number % 5 == 2, "192.168.1.0/255.255.255.240")
+        .otherwise(F.concat(F.lit("93.184.216."), (number % 3).cast("string")))
+    )
+    return networks.with_direction_by_table(packets, packets.select(cidr.alias("cidr"))).select("packet_id", "direction")
+
+
+def direction_by_table_unreadable(spark, sf):
+    """A long list with one network that cannot be read: no direction is known."""
+    packets = _usable(spark, sf)
+    cidr = F.when(F.col("packet_id") == 1, "10.0.0.0/99").otherwise(F.concat(F.lit("10.0.0."), (F.col("packet_id") % 256).cast("string")))
+    return networks.with_direction_by_table(packets, packets.select(cidr.alias("cidr"))).select("packet_id", "direction")
+
+
 def tcp_state(spark, sf):
     state = pf.connection_state(F.col("tcp_flags"), F.col("protocol"))
     return views.packets(spark, sf).select("packet_id", "tcp_flags", state.alias("connection_state"))
@@ -145,6 +166,27 @@ def flow_summary(spark, sf):
     return flows.flow_summary(_usable(spark, sf))
 
 
+def _packets_hot(spark: SparkSession, sf: str) -> DataFrame:
+    # A table, as packets are: the view's nested cases would be spelled out wherever a column is used.
+    return storage.materialize(views.packets_hot(spark, sf), "packets-hot")
+
+
+def _usable_hot(spark: SparkSession, sf: str) -> DataFrame:
+    return po.split_valid(_packets_hot(spark, sf))[0]
+
+
+def full_features_cut(spark, sf):
+    return extract_features(_packets_hot(spark, sf), options=CUT).drop("extra", "window_size")
+
+
+def active_flow_timeline_cut(spark, sf):
+    return flows.active_flow_timeline(_usable_hot(spark, sf), options=CUT)
+
+
+def flow_summary_cut(spark, sf):
+    return flows.flow_summary(_usable_hot(spark, sf), options=CUT)
+
+
 def active_flows_asof(spark, sf):
     return flows.active_flows(_usable(spark, sf), AS_OF_US).select("flow_id", "start_us", "last_seen_us", "total_packets")
 
@@ -394,7 +436,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         packet_filter, packet_limit, packet_time_limit, dead_letter, protocol_detect, flow_key_id, packet_direction,
         packet_direction_v6, direction_by_table, tcp_state, payload_size, extra_fields, flow_sessions, packet_features,
-        full_features, avg_flow_time, active_flow_timeline, flow_summary, active_flows_asof, active_flow_count,
+        full_features, avg_flow_time, active_flow_timeline, flow_summary, full_features_cut, active_flow_timeline_cut,
+        flow_summary_cut, direction_by_table_join, direction_by_table_unreadable, active_flows_asof, active_flow_count,
         expired_flows_asof, mean_flow_time, recent_flows_topk, normalize_label, severity, threat_label, risk_score,
         feature_select, feature_encode, partial_dataset, scorable_split, class_weights, label_classes, dataset_profile,
         stratified_split, confusion, eval_metrics, classification_report, union_rows, packet_text, feature_text,

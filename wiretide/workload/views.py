@@ -39,6 +39,20 @@ FROM (SELECT *, {TS} AS ts_us,
     40000 + user_id % 40 AS a_port FROM events) e
 """
 
+# The same packets with a third of them in one flow and a fifth at one instant.
+_PACKETS_HOT = f"""
+SELECT packet_id,
+  CASE WHEN packet_id % 3 = 0 THEN '192.168.1.7' ELSE src_ip END AS src_ip,
+  CASE WHEN packet_id % 3 = 0 THEN '93.184.216.1' ELSE dst_ip END AS dst_ip,
+  CASE WHEN packet_id % 3 = 0 THEN 40007 ELSE src_port END AS src_port,
+  CASE WHEN packet_id % 3 = 0 THEN 443 ELSE dst_port END AS dst_port,
+  CASE WHEN packet_id % 3 = 0 THEN 'TCP' ELSE protocol END AS protocol,
+  length,
+  CASE WHEN packet_id % 5 = 0 THEN {EPOCH_US + 600_000_000} ELSE ts_us END AS ts_us,
+  ttl, tcp_flags, payload_size
+FROM packets
+"""
+
 # The same conversations between IPv6 addresses in several spellings; 'fd' is home.
 _PACKETS_V6 = """
 SELECT packet_id,
@@ -87,6 +101,7 @@ def _duckdb(text: str) -> str:
 
 DUCKDB_VIEWS = {
     "packets": _duckdb(_PACKETS),
+    "packets_hot": _duckdb(_PACKETS_HOT),
     "packets_v6": _duckdb(_PACKETS_V6),
     "scored": _duckdb(_SCORED),
     "eval_pairs": _duckdb(_EVAL_PAIRS),
@@ -108,6 +123,11 @@ def labelled_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_spark(text).replace("FROM events)", "FROM {events})"), events=events(spark, sf_dir))
 
 
+def packets_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = _spark(_PACKETS_HOT).replace("FROM packets", "FROM {packets}")
+    return spark.sql(text, packets=packets(spark, sf_dir))
+
+
 def packets_v6(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = _spark(_PACKETS_V6).replace("FROM packets", "FROM {packets}")
     return spark.sql(text, packets=packets(spark, sf_dir))
