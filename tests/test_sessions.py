@@ -200,12 +200,12 @@ def test_running_totals(spark):
         assert r.so_far == total
 
 
-def test_capture_limits(spark, monkeypatch):
+def test_capture_limits(spark):
     table = busy_table(spark, 1500)
-    expected = [r.packet_id for r in table.orderBy("ts_us", "packet_id").limit(321).collect()]
-    assert sorted(r.packet_id for r in capture_limit(table, 321).collect()) == sorted(expected)
-    monkeypatch.setattr("wiretide.operators.packets.TOP_N_ROWS", 10)
-    assert sorted(r.packet_id for r in capture_limit(table, 321, options=CUT).collect()) == sorted(expected)
+    for n in (1, 321, 1499, 2000):
+        expected = [r.packet_id for r in table.orderBy("ts_us", "packet_id").limit(n).collect()]
+        for options in (LayoutOptions(), CUT):
+            assert sorted(r.packet_id for r in capture_limit(table, n, options=options).collect()) == sorted(expected)
     assert capture_limit(table).count() == 1500
     first = table.agg(F.min("ts_us")).first()[0]
     early = capture_limit(table, timeout_seconds=100.0)

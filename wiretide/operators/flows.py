@@ -72,9 +72,16 @@ def _seen_until(packets: DataFrame, now_us: int) -> DataFrame:
 def active_flows(
     packets: DataFrame, now_us: int, config: ExtractionConfig = ExtractionConfig(), options: LayoutOptions = LayoutOptions()
 ) -> DataFrame:
-    """Flows that are tracked at ``now_us``: seen by then and not idle for longer than the timeout."""
+    """Flows that are tracked at ``now_us``: seen by then and not idle for longer than the timeout.
+
+    Only the history of flows seen within the timeout is scanned; the others' packets
+    leave before the flow shuffle.
+    """
     live = F.lit(now_us) - F.col("last_seen_us") <= config.timeout_us
-    return flow_summary(_seen_until(packets, now_us), config, options=options).filter(live)
+    recent = with_flow_identity(packets.filter(F.col("ts_us").between(now_us - config.timeout_us, now_us)))
+    rows = with_flow_identity(_seen_until(packets, now_us)).join(recent.select("flow_hash").distinct(), "flow_hash", "left_semi")
+    scanned = scan_flows(rows, config.timeout_us, plan_layout(rows, options=options))
+    return flow_records(scanned.filter("is_last")).select(*FLOW_COLUMNS).filter(live)
 
 
 def active_flow_count(packets: DataFrame, now_us: int, config: ExtractionConfig = ExtractionConfig()) -> DataFrame:
@@ -128,9 +135,7 @@ def active_flow_timeline(
     """Number of tracked flows after each packet.
 
     Every session counts one up when it starts and one down just after its idle
-    time is over. The end of a session that is followed by another one is known at
-    the packet that opens the next; the last one of each flow ends after the
-    flow's latest packet, a plain maximum.
+    time is over, which its last packet tells.
     """
     rows = with_flow_identity(packets.select("packet_id", "ts_us", "src_ip", "src_port", "dst_ip", "dst_port", "protocol", "length"))
     layout = plan_layout(rows, TIME_ORDER, options)
@@ -139,14 +144,8 @@ def active_flow_timeline(
     before_packets = F.lit(-(2**63)).cast("bigint")
     start = F.struct("ts_us", "packet_id", F.col("is_new").alias("change"))
     end = F.struct(
-        (F.col("previous_us") + config.timeout_us + 1).alias("ts_us"), before_packets.alias("packet_id"), (-one).alias("change")
-    )
-    follows = (F.col("is_new") == 1) & F.col("previous_us").isNotNull()
-    events = scanned.select(F.explode(F.when(follows, F.array(start, end)).otherwise(F.array(start))).alias("e")).select("e.*")
-    last_ends = (
-        rows.groupBy(*FLOW_KEYS)
-        .agg(F.max("ts_us").alias("_last"))
-        .select((F.col("_last") + config.timeout_us + 1).alias("ts_us"), before_packets.alias("packet_id"), (-one).alias("change"))
+        (F.col("ts_us") + config.timeout_us + 1).alias("ts_us"), before_packets.alias("packet_id"), (-one).alias("change")
     )
-    counted = running_totals(events.unionByName(last_ends), {"active_flows": F.col("change")}, layout)
+    events = scanned.select(F.explode(F.when(F.col("is_last"), F.array(start, end)).otherwise(F.array(start))).alias("e")).select("e.*")
+    counted = running_totals(events, {"active_flows": F.col("change")}, layout)
     return counted.filter(F.col("packet_id") > before_packets).select("packet_id", "ts_us", "active_flows")

@@ -121,10 +121,9 @@ def _prefixes(networks: DataFrame) -> DataFrame:
 def _by_join(packets: DataFrame, networks: DataFrame) -> DataFrame:
     """Join distinct addresses with the networks by prefix, then packets with the addresses at home.
 
-    The second join is spread over copies of the small side, so that packets of
-    one busy address go to many tasks.
+    In the second join every address stands once on its side, so adaptive execution can
+    split the packets of a busy address over as many tasks as their size asks for.
     """
-    copies = 16
     prefixes = _prefixes(networks)
     lengths = [r[0] for r in prefixes.select(F.length("_prefix")).distinct().limit(42).collect()]
     ends = packets.select(F.explode(F.array("src_ip", "dst_ip")).alias("ip")).distinct()
@@ -132,11 +131,10 @@ def _by_join(packets: DataFrame, networks: DataFrame) -> DataFrame:
         "_prefix", F.explode(F.array(*[F.substring("_digits", 1, n) for n in lengths]))
     )
     at_home = candidates.join(prefixes, "_prefix", "left_semi").select("ip").distinct()
-    spread = at_home.withColumn("_copy", F.explode(F.array(*[F.lit(i) for i in range(copies)])))
-    out = packets.withColumn("_copy", F.abs(F.xxhash64("packet_id") % copies).cast("int"))
+    out = packets
     for end in ("src", "dst"):
-        side = spread.select(F.col("ip").alias(f"{end}_ip"), "_copy", F.lit(True).alias(f"_{end}_home"))
-        out = out.join(side, [f"{end}_ip", "_copy"], "left")
+        side = at_home.select(F.col("ip").alias(f"{end}_ip"), F.lit(True).alias(f"_{end}_home"))
+        out = out.join(side, f"{end}_ip", "left")
     out = with_ipv4(with_ipv4(out, "src_ip", "_src_v4"), "dst_ip", "_dst_v4")
     home = {end: F.coalesce(F.col(f"_{end}_home"), F.lit(False)) for end in ("src", "dst")}
     valid = {end: F.col(f"_{end}_v4").isNotNull() | is_ipv6(F.col(f"{end}_ip")) for end in ("src", "dst")}

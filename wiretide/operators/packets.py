@@ -6,13 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wiretide.functions.packets import estimated_payload, extra_field, port_or_null
-from wiretide.operators.layout import Layout, LayoutOptions, plan_layout
-from wiretide.operators.running import running_totals
+from wiretide.operators.layout import LayoutOptions, plan_layout
 from wiretide.schemas import MICROS, PACKET_SCHEMA, SUPPORTED_PROTOCOLS
 
-# Above this many rows a limit is cut by rank instead of by one merged top-n list.
-TOP_N_ROWS = 100_000
-
 # A packet without one of these cannot be assigned to a flow or counted.
 REQUIRED = ("src_ip", "dst_ip", "length", "ts_us")
 
@@ -64,11 +60,18 @@ def capture_limit(
         out = out.filter(F.col("ts_us") < end)
     if packet_count <= 0:
         return out
-    if packet_count <= TOP_N_ROWS:
-        return out.orderBy("ts_us", "packet_id").limit(packet_count)
-    layout = plan_layout(out, options=options)
-    ranked = running_totals(out.withColumn("_one", F.lit(1).cast("bigint")), {"_rank": F.col("_one")}, layout)
-    return ranked.filter(F.col("_rank") <= packet_count).drop("_one", "_rank")
+    # Slices before the one in which the count ends are kept whole; only that one is put in order.
+    sliced = plan_layout(out, options=options).with_slice(out)
+    left, last = packet_count, None
+    for number, rows in sorted(sliced.groupBy("_slice").count().collect()):
+        if rows >= left:
+            last = number
+            break
+        left -= rows
+    if last is None:
+        return out
+    ends = sliced.filter(F.col("_slice") == last).orderBy("ts_us", "packet_id").limit(left)
+    return sliced.filter(F.col("_slice") < last).unionAll(ends).drop("_slice")
 
 
 def packet_error(columns: list[str]) -> Column:

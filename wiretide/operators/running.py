@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wiretide.operators.layout import Layout
+from wiretide.sources.storage import materialize
 
 
 def running_totals(
@@ -17,16 +18,20 @@ def running_totals(
 
     Each slice is summed by itself, the few slice totals are summed in order (at
     most ``layout.n_slices`` rows, a number fixed when the layout was made), and
-    the total of all earlier slices is added to the sum within the slice.
+    the total of all earlier slices is added to the sum within the slice. The sums
+    within slices are written once to the shared folder, so what is behind them runs
+    once; totals and result are narrow reads of that table.
     """
     start = start or {}
     before = {name: F.lit(int(start.get(name, 0))).cast("bigint") for name in measures}
     work = df.withColumns({f"_m_{name}": column for name, column in measures.items()})
     order = [F.col(c) for c in layout.order]
-    if not layout.cuts:
-        within = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    else:
-        work = layout.with_slice(work)
+    running = (Window.partitionBy("_slice") if layout.cuts else Window).orderBy(*order)
+    running = running.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    work = layout.with_slice(work) if layout.cuts else work
+    work = work.withColumns({f"_w_{name}": F.sum(f"_m_{name}").over(running) for name in measures})
+    if layout.cuts:
+        work = materialize(work, "running")
         totals = work.groupBy("_slice").agg(*[F.sum(f"_m_{name}").alias(f"_t_{name}") for name in measures])
         earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
         offsets = totals.select(
@@ -35,11 +40,6 @@ def running_totals(
         )
         work = work.join(F.broadcast(offsets), "_slice")
         before = {name: before[name] + F.col(f"_o_{name}") for name in measures}
-        within = (
-            Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-    out = work.withColumns(
-        {name: (before[name] + F.sum(f"_m_{name}").over(within)).cast("bigint") for name in measures}
-    )
-    helpers = ["_slice"] + [f"_{kind}_{name}" for kind in ("m", "o") for name in measures]
+    out = work.withColumns({name: (before[name] + F.col(f"_w_{name}")).cast("bigint") for name in measures})
+    helpers = ["_slice"] + [f"_{kind}_{name}" for kind in ("m", "w", "o") for name in measures]
     return out.drop(*helpers)
