@@ -25,6 +25,9 @@ HEADLINE = (
     "stratified_split",
     "classification_report",
     "train_and_score",
+    "full_features_cut",
+    "direction_by_table_join",
+    "features_stream",
 )
 
 

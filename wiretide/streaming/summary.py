@@ -8,7 +8,19 @@ from pyspark.sql import functions as F
 from wiretide.functions.flowkey import with_flow_identity
 from wiretide.functions.packets import connection_state
 from wiretide.operators.packets import split_valid
-from wiretide.schemas import ExtractionConfig
+from wiretide.schemas import MICROS, ExtractionConfig
+
+
+def end_mark(packets: DataFrame, delay_seconds: float = 10.0, config: ExtractionConfig = ExtractionConfig()) -> DataFrame:
+    """One packet so long after the last that it closes every session; its own session stays open.
+
+    A source that ends sends it last, with the delay of its stream.
+    """
+    after = config.timeout_us + round(2 * delay_seconds * MICROS) + MICROS
+    nowhere = F.lit("0.0.0.0")
+    return packets.agg((F.max("ts_us") + after).alias("ts_us")).select(
+        "ts_us", nowhere.alias("src_ip"), nowhere.alias("dst_ip"), F.lit("OTHER").alias("protocol"), F.lit(0).cast("bigint").alias("length")
+    )
 
 
 def flow_summary_stream(
@@ -16,8 +28,12 @@ def flow_summary_stream(
 ) -> DataFrame:
     """Flow sessions of a packet stream, each given out once, when the watermark has passed its end.
 
-    Packets later than the delay are dropped, as in any watermarked aggregation.
+    Packets later than the delay are dropped, as in any watermarked aggregation. Sessions
+    still open when a stream ends are given out after the packet of ``end_mark``. Packets
+    of a session are merged where they are read, so a busy flow is no load on one task;
+    this is a setting of the session.
     """
+    packets.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", True)
     usable, _ = split_valid(packets)
     flags = F.col("tcp_flags") if "tcp_flags" in packets.columns else F.lit(None).cast("string")
     rows = (

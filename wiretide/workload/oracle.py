@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from wiretide.schemas import CATEGORY_CODES, DetectionConfig
-from wiretide.workload.queries import AS_OF_US, CAPTURE_PACKETS, CAPTURE_SECONDS, FIXED_NOW, RECENT_FLOWS
+from wiretide.workload.queries import AS_OF_US, CAPTURE_PACKETS, CAPTURE_SECONDS, FIXED_NOW, LARGE_CAPTURE, RECENT_FLOWS
 from wiretide.workload.views import DUCKDB_VIEWS
 
 _TIMEOUT = 60_000_000
@@ -125,22 +124,31 @@ _AS_NUMBERS = ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in _F
 _AS_NUMBERS += ", CAST(0 AS DOUBLE) AS window_size, avg_flow_time"
 
 
-def _code(name: str, column: str | None = None) -> str:
-    cases = " ".join(f"WHEN '{word}' THEN {number}" for word, number in CATEGORY_CODES[name].items())
-    return f"CAST(CASE upper({column or name}) {cases} ELSE {CATEGORY_CODES[name]['UNKNOWN']} END AS DOUBLE) AS {name}"
+# The words of the categorical inputs by their codes; the last stands for all others.
+_WORDS = {
+    "protocol": ["TCP", "UDP", "ICMP", "OTHER", "UNKNOWN"],
+    "direction": ["INBOUND", "OUTBOUND", "INTERNAL", "UNKNOWN"],
+    "connection_state": ["NEW", "ESTABLISHED", "CLOSING", "CLOSED", "STATELESS", "UNKNOWN"],
+}
+
+
+def _code(name: str) -> str:
+    words = _WORDS[name]
+    cases = " ".join(f"WHEN '{word}' THEN {number}" for number, word in enumerate(words))
+    return f"CAST(CASE upper({name}) {cases} ELSE {len(words) - 1} END AS DOUBLE) AS {name}"
 
 
 _CLAMPED = "greatest(least(confidence, 100.0), 0.0)"
 
 
 def _severity(value: str) -> str:
-    bands = " ".join(f"WHEN {value} <= {upper} THEN '{name}'" for name, upper in DetectionConfig().severity_bands)
-    return f"CASE {bands} ELSE 'CRITICAL' END"
+    return f"CASE WHEN {value} <= 30 THEN 'LOW' WHEN {value} <= 70 THEN 'MEDIUM' WHEN {value} <= 90 THEN 'HIGH' ELSE 'CRITICAL' END"
 
 
 def _weight(column: str) -> str:
-    cases = " ".join(f"WHEN '{name}' THEN CAST({value} AS DOUBLE)" for name, value in DetectionConfig().risk_weights)
-    return f"CASE {column} {cases} ELSE CAST(0.5 AS DOUBLE) END"
+    return f"""CAST(CASE {column} WHEN 'BENIGN' THEN 0.0 WHEN 'PORT_SCAN' THEN 0.55 WHEN 'BRUTE_FORCE' THEN 0.70
+      WHEN 'PHISHING' THEN 0.75 WHEN 'BOTNET' THEN 0.85 WHEN 'MALWARE' THEN 0.90 WHEN 'DDOS' THEN 0.90
+      WHEN 'DATA_EXFILTRATION' THEN 0.95 ELSE 0.50 END AS DOUBLE)"""
 
 
 _LABEL_OF_ID = "SELECT id, y_true FROM eval_pairs"
@@ -333,17 +341,33 @@ ORACLE_SQL = {
         f"""SELECT CAST(packet_id AS DOUBLE) AS flow_duration, CAST(length AS DOUBLE) AS packet_length, {_code('protocol')},
         CAST(0 AS DOUBLE) AS total_bytes, y_true AS label FROM packets JOIN eval_pairs ON packet_id = id"""
     ),
-    "saved_model": "SELECT CAST(0 AS BIGINT) AS differences",
-    # A session is given out once ten seconds have been seen past the end of its idle time.
+    "saved_model": _sql(
+        """SELECT CAST(0 AS BIGINT) AS differences, CAST(sum(floor(n * 0.2 + 0.5)) AS BIGINT) AS rows
+        FROM (SELECT count(*) AS n FROM good JOIN eval_pairs ON packet_id = id GROUP BY y_true) c"""
+    ),
+    "prediction_checks": _sql(
+        """SELECT packet_id, flow_id, true AS sum_to_one, true AS likeliest, true AS confidence_follows,
+        true AS severity_follows, true AS label_follows, true AS risk_in_bounds
+        FROM (SELECT packet_id, flow_id, row_number() OVER (PARTITION BY y_true ORDER BY md5('42:' || CAST(id AS VARCHAR))) AS place,
+          count(*) OVER (PARTITION BY y_true) AS total FROM flowed JOIN eval_pairs ON packet_id = id) r
+        WHERE place <= floor(total * 0.2 + 0.5)"""
+    ),
+    "closed_flows_stream": _sql("SELECT * EXCLUDE (session) FROM summary"),
     "summary_stream": _sql(
-        f"""SELECT flow_id, endpoint_1_ip, endpoint_1_port, endpoint_2_ip, endpoint_2_port, protocol, start_us, last_seen_us,
-        total_packets, total_bytes, connection_state, initiator_ip, duration_us FROM summary
-        WHERE last_seen_us + {_TIMEOUT} <= ((SELECT max(ts_us) FROM good) - 10000000) // 1000 * 1000"""
+        """SELECT flow_id, endpoint_1_ip, endpoint_1_port, endpoint_2_ip, endpoint_2_port, protocol, start_us, last_seen_us,
+        total_packets, total_bytes, connection_state, initiator_ip, duration_us FROM summary"""
     ),
 }
 
-# The cut queries ask the same of the packets with a hot flow and a crowded instant.
+
+def _on_hot(sql: str) -> str:
+    """The same asked of the packets with a hot flow and a crowded instant."""
+    text = sql.replace("SELECT * FROM packets\n", "SELECT * FROM packets_hot\n")
+    return text.replace("good AS (", f"packets_hot AS ({DUCKDB_VIEWS['packets_hot']}),\ngood AS (", 1)
+
+
 for _name in ("full_features", "active_flow_timeline", "flow_summary"):
-    _text = ORACLE_SQL[_name].replace("SELECT * FROM packets\n", "SELECT * FROM packets_hot\n")
-    _hot = DUCKDB_VIEWS["packets_hot"]
-    ORACLE_SQL[f"{_name}_cut"] = _text.replace("good AS (", f"packets_hot AS ({_hot}),\ngood AS (", 1)
+    ORACLE_SQL[f"{_name}_cut"] = _on_hot(ORACLE_SQL[_name])
+ORACLE_SQL["packet_limit_large"] = _on_hot(
+    _sql(f"SELECT packet_id, ts_us FROM good WHERE protocol <> 'OTHER' ORDER BY ts_us, packet_id LIMIT {LARGE_CAPTURE}")
+)

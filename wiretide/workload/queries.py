@@ -22,13 +22,16 @@ from wiretide.plans.train import create_model, evaluate as evaluate_model, split
 from wiretide.schemas import ATTACK_CATEGORIES, FEATURE_ORDER, MICROS, PACKET_SCHEMA, DetectionConfig, ExtractionConfig
 from wiretide.sources import storage, tables
 from wiretide.streaming.delivery import write_under_batch
-from wiretide.streaming.flows import stream_features
-from wiretide.streaming.summary import flow_summary_stream
+from wiretide.streaming.flows import FlowStore, stream_features
+from wiretide.streaming.summary import end_mark, flow_summary_stream
 from wiretide.workload import views
 
 CONFIG = ExtractionConfig()
 AS_OF_US = views.EPOCH_US + 1_800 * MICROS
 CAPTURE_PACKETS = 500
+LARGE_CAPTURE = 4_000
+# A registered stream takes the table in so many micro-batches of so many files.
+STREAM_BATCHES, STREAM_FILES = 4, 8
 CAPTURE_SECONDS = 900.0
 RECENT_FLOWS = 100
 FIXED_NOW = float(views.EPOCH_US // MICROS)
@@ -175,6 +178,12 @@ def _usable_hot(spark: SparkSession, sf: str) -> DataFrame:
     return po.split_valid(_packets_hot(spark, sf))[0]
 
 
+def packet_limit_large(spark, sf):
+    """A limit that keeps several slices whole and ends within one."""
+    captured = po.capture(_packets_hot(spark, sf))
+    return po.capture_limit(captured, LARGE_CAPTURE, options=CUT).select("packet_id", "ts_us")
+
+
 def full_features_cut(spark, sf):
     return extract_features(_packets_hot(spark, sf), options=CUT).drop("extra", "window_size")
 
@@ -367,7 +376,7 @@ def train_and_evaluate(spark, sf):
 
 
 def saved_model(spark, sf):
-    """Rows on which a model and its saved and reloaded copy differ: none."""
+    """Test rows, and those of them on which a model and its saved and reloaded copy differ: none."""
     model, _, test = _trained(spark, sf)
     path = storage.work_folder(spark, "model")
     model.save(path)
@@ -375,33 +384,73 @@ def saved_model(spark, sf):
     left = model.predict(test).select("packet_id", "predicted")
     right = copy.predict(test).select("packet_id", F.col("predicted").alias("again"))
     both = left.join(right, "packet_id")
-    return both.agg(F.count_if(F.col("predicted") != F.col("again")).alias("differences"))
+    differ = F.count_if(F.col("predicted") != F.col("again"))
+    return both.agg(differ.alias("differences"), F.count(F.lit(1)).alias("rows"))
 
 
-def _packet_files(spark, sf) -> str:
-    """The packets as a folder of files, for a stream to read."""
-    path = storage.work_folder(spark, "packets")
-    views.packets(spark, sf).write.parquet(path)
-    return path
+def prediction_checks(spark, sf):
+    """What must hold of a trained model's predictions, for every test packet and its flow."""
+    values = F.map_values("class_probabilities")
+    best = F.array_max(values)
+    severity = F.expr(
+        "CASE WHEN confidence_score <= 30 THEN 'LOW' WHEN confidence_score <= 70 THEN 'MEDIUM'"
+        " WHEN confidence_score <= 90 THEN 'HIGH' ELSE 'CRITICAL' END"
+    )
+    label = F.expr(
+        "CASE WHEN attack_category = 'BENIGN' THEN 'BENIGN' WHEN confidence_score < 50 THEN 'SUSPICIOUS' ELSE 'MALICIOUS' END"
+    )
+    return train_and_score(spark, sf).select(
+        "packet_id",
+        "flow_id",
+        (F.abs(F.aggregate(values, F.lit(0.0), lambda s, x: s + x) - 1) < 1e-9).alias("sum_to_one"),
+        (F.try_element_at("class_probabilities", F.col("attack_category")) == best).alias("likeliest"),
+        (F.col("confidence_score") == best * 100.0).alias("confidence_follows"),
+        (F.col("severity") == severity).alias("severity_follows"),
+        (F.col("threat_label") == label).alias("label_follows"),
+        F.col("risk_score").between(0.0, F.col("confidence_score")).alias("risk_in_bounds"),
+    )
 
 
-def _stream_schema(spark, sf):
-    return views.packets(spark, sf).schema
+def _packet_stream(spark, sf) -> DataFrame:
+    """The packets as a stream of STREAM_BATCHES micro-batches, in order of time."""
+    path, packets = storage.work_folder(spark, "packets"), views.packets(spark, sf)
+    edges = packets.approxQuantile("ts_us", [i / STREAM_BATCHES for i in range(1, STREAM_BATCHES)], 0.01)
+    number = sum((F.col("ts_us") >= edge).cast("int") for edge in edges)
+    for i in range(STREAM_BATCHES):
+        packets.filter(number == i).repartition(STREAM_FILES).write.mode("append").parquet(path)
+    return tables.stream_packets(spark, path, schema=packets.schema, maxFilesPerTrigger=STREAM_FILES)
 
 
 def features_stream(spark, sf):
     """Per-packet features from a stream that takes the whole table; the same rows as in batch."""
     folder = storage.work_folder(spark, "features-stream")
-    stream = tables.stream_packets(spark, _packet_files(spark, sf), schema=_stream_schema(spark, sf))
-    query = stream_features(stream, folder, write_under_batch(f"{folder}/features"), trigger={"availableNow": True})
-    query.awaitTermination()
+    features = write_under_batch(f"{folder}/features")
+    stream_features(_packet_stream(spark, sf), folder, features, trigger={"availableNow": True}).awaitTermination()
     return spark.read.parquet(f"{folder}/features").drop("batch", "extra", "window_size")
 
 
+def closed_flows_stream(spark, sf):
+    """Flow sessions a stream closes one micro-batch after the other, and those still open at its end."""
+    folder = storage.work_folder(spark, "closed-flows-stream")
+    query = stream_features(
+        _packet_stream(spark, sf),
+        folder,
+        lambda features, batch_id: None,
+        on_closed=write_under_batch(f"{folder}/closed"),
+        trigger={"availableNow": True},
+    )
+    query.awaitTermination()
+    columns = [c for c in flows.FLOW_COLUMNS if c != "session"]
+    still_open, _ = FlowStore(spark, f"{folder}/state").before(2**62)
+    return spark.read.parquet(f"{folder}/closed").select(*columns).unionByName(still_open.select(*columns))
+
+
 def summary_stream(spark, sf):
-    """Flow sessions that a stream over the whole table has given out by its end."""
+    """Flow sessions by session windows on a stream over the whole table, to its end."""
     folder = storage.work_folder(spark, "summary-stream")
-    stream = tables.stream_packets(spark, _packet_files(spark, sf), schema=_stream_schema(spark, sf))
+    packets = views.packets(spark, sf)
+    packets.unionByName(end_mark(packets), allowMissingColumns=True).write.parquet(f"{folder}/packets")
+    stream = tables.stream_packets(spark, f"{folder}/packets", schema=packets.schema)
     query = (
         flow_summary_stream(stream)
         .writeStream.format("parquet")
@@ -442,6 +491,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feature_select, feature_encode, partial_dataset, scorable_split, class_weights, label_classes, dataset_profile,
         stratified_split, confusion, eval_metrics, classification_report, union_rows, packet_text, feature_text,
         packet_json, predictions, feature_csv, labelled_csv, train_and_score, train_and_evaluate, saved_model,
-        features_stream, summary_stream, score_stream,
+        prediction_checks, packet_limit_large, features_stream, closed_flows_stream, summary_stream, score_stream,
     )
 }
