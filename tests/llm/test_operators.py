@@ -393,6 +393,21 @@ def test_interpolated_probabilities_follow_from_the_counts(spark):
     assert got[3]["n_tokens"] == 1 and got[2]["n_known"] == 2
 
 
+@pytest.mark.parametrize("vocabulary, partitions", [(["a"], 1), (["b"], 1), (["c"], 1), (["a", "b", "c"], 24)])
+def test_few_words_over_many_slices_count_as_types_once(spark, vocabulary, partitions):
+    texts = {i: [*(vocabulary[(i + j) % len(vocabulary)] for j in range(i % 5)), "new"][: i % 5 + (i % 7 == 2)] for i in range(96)}
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string").repartition(partitions)
+    train = {i for i in texts if i % 7 != 2}
+    count = Counter(w for i in train for w in [*texts[i], None])
+    n, v = sum(count.values()), len(count)
+    got = rows(interpolation.score_documents(table, F.col("doc_id") % 7 != 2))
+    assert len(got) == len(texts) and v == len(vocabulary) + 1
+    for r in got:
+        own = [*texts[r["doc_id"]], None]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(own), sum(count[w] > 0 for w in own), n)
+        assert r["base_score"] == pytest.approx(sum(math.log10((count[w] + 1) / (n + v + 1)) for w in own))
+
+
 def test_interpolation_of_odd_rows(odd, none):
     got = rows(interpolation.score_documents(odd, fold(F.col("doc_id"), 7) != 2))
     assert len(got) == len(ODD) and all(math.isfinite(r["score"]) for r in got)

@@ -161,7 +161,9 @@ def answered(chunks: DataFrame, bits: int, idle: int) -> DataFrame:
             values, where = np.unique(np.concatenate(asked), return_inverse=True)
             told = np.concatenate([_unpack(x, np.uint32) for x in table.column(counts).to_pylist()])
             total = np.bincount(where, weights=told, minlength=len(values)).astype(np.uint64)
-            types = types or int((total > 0).sum())
+            # Words alone are types; a slice can hold pairs and no word.
+            if keys == "words":
+                types = int((total > 0).sum())
             ends = np.cumsum([len(x) for x in asked])
             out.append([_pack(x) for x in np.split(total[where], ends[:-1])])
         first = np.zeros(len(out[0]), dtype=np.int64)
