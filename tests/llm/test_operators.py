@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from check_oracle import compare, connect
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from wiretide.llm import (
@@ -74,6 +75,18 @@ def test_remembered_pieces_give_the_ids_of_the_whole_text(name, drops, documents
         assert np.frombuffer(encoder.encode(text), encoder.type).tolist() == want, repr(text[:80])
 
 
+@pytest.mark.parametrize("name, drops", [(WORD_TOKENIZER, True), (BYTE_TOKENIZER, False)])
+def test_added_tokens_in_texts_get_the_ids_of_the_library(name, drops, documents):
+    fresh, encoder = Tokenizer.from_file(tokenizer_path(name)), tokens.Encoder(tokenizer_path(name), drops)
+    marks = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", "<|endoftext|><|endoftext|>", "<|startoftext|>x<|endoftext|>"]
+    around = ["{}", "a {} b", "a{}b", " {} ", "a  {}\n\n{} b", "\t{}\x1c", "é{} 日本{}", "don't {}'s", documents.text.iloc[0] + "{}" + documents.text.iloc[1]]
+    for text in [a.replace("{}", m) for m in marks for a in around]:
+        want = fresh.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), encoder.type).tolist() == want, repr(text[-80:])
+    plain = [[320, 49407, 321], [64, 220, 50256, 275]][not drops]
+    assert np.frombuffer(encoder.encode("a <|endoftext|> b"), encoder.type).tolist() == plain
+
+
 def check_packing(table, result):
     """Every id in exactly one piece, sequences gapless; returns padding and ids."""
     encoder = tokens.encoder(tokenizer_path(WORD_TOKENIZER), True)

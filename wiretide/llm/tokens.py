@@ -1,8 +1,10 @@
 """Token ids of whole texts, by the tokenizers library with remembered pieces.
 
 White space always separates pre-tokens of both vocabularies used here, so a text is
-cut at spaces, and only pieces not seen before by this worker reach the library. The
-result equals encoding the text as a whole; tests/llm compare both.
+cut at spaces, and only pieces not seen before by this worker reach the library. A text
+that holds an added token such as <|endoftext|> goes to the library whole. The result
+equals encoding the text as a whole at the library's defaults, without special tokens at
+its ends; tests/llm compare both.
 """
 
 from __future__ import annotations
@@ -56,8 +58,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.type = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.drops_space = drops_space
         self.letters = _byte_letters()
@@ -93,6 +95,8 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if any(token in text for token in self.added):
+            return self._whole(text)
         parts = text.split(" ")
         if self.drops_space:
             return b"".join(map(self.parts.__getitem__, parts))
