@@ -239,6 +239,30 @@ def test_languages(spark, odd, none, documents):
     assert rows(language_id.identify(none, nothing)) == []
 
 
+def test_texts_of_no_learned_language_are_rejected(spark):
+    documents, rng = pd.read_parquet("/root/testdata/sf0.01/documents.parquet").set_index("doc_id"), np.random.default_rng(11)
+    run = lambda a, b, n: "".join(map(chr, rng.integers(a, b, n)))
+    spaced = lambda a, b, n: " ".join(run(a, b, k) for k in rng.integers(2, 9, n))[:n]
+    learned = documents.iloc[: len(documents) * 4 // 5]
+    # One mislabelled long text of another script and one of random letters are in what is learned from.
+    noise = [(10**6, spaced(0x430, 0x450, 200_000), "en"), (10**6 + 1, spaced(97, 123, 50_000), "de")]
+    table = [*zip(map(int, learned.index), learned.text, learned.lang), *noise]
+    model = language_id.fit(spark.createDataFrame(table, "doc_id long, text string, lang string"))
+    for n in (8, 20, 60, 200, 2_000, 40_000, 300_000):
+        for first, last in ((0x4E00, 0x9000), (0x621, 0x64A), (0x5D0, 0x5EA)):
+            assert model.predict(spaced(first, last, n))[2] and model.predict(run(first, last, n))[2], (n, hex(first))
+        if n >= 60:
+            assert model.predict(spaced(97, 123, n))[2], n
+    held = documents.iloc[len(learned) :]
+    for n in (20, 60, 200, 2_000, 10**9):
+        assert np.mean([model.predict(t[:n])[2] for t in held.text if language_id.has_letter(t[:n])]) < 0.03, n
+    for lang, own in documents.groupby("lang"):
+        for n in (40_000, 2_000_000):
+            text = " ".join(own.text)
+            text = (text * (n // len(text) + 1))[:n]
+            assert model.predict(text)[::2] == (lang, False), (lang, n)
+
+
 def test_toxicity(spark, odd, none):
     sf = "/root/testdata/sf0.1"  # the smaller ones hold out a handful of toxic texts
     result = pd.DataFrame(rows(QUERIES["op8_toxicity"](spark, sf))).merge(pd.read_parquet(f"{sf}/labels.parquet"), on="doc_id")

@@ -2,8 +2,8 @@
 
 A text is a bag of hashed character n-grams (1 to 3), as a unit TF-IDF vector. A language
 has a few centroids, by spherical k-means over a bounded sample of its labelled texts;
-the language of the nearest centroid by cosine wins. A text farther from every centroid
-than texts of its length ever were in the sample is rejected.
+the language of the nearest centroid by cosine wins. A text much farther from it than the
+language's own sampled texts, cut to its length, is rejected.
 """
 
 from __future__ import annotations
@@ -26,8 +26,13 @@ CENTROIDS = 4
 #: Labelled texts per language from which centroids are built.
 SAMPLE = 400
 ROUNDS = 8
-#: A text is rejected below this part of the lowest cosine the sample has at its length.
-SLACK = 0.5
+#: A text is rejected below SLACK of the cosine that LOW of its language's sample stays under at its length.
+SLACK, LOW = 0.6, 0.05
+#: Cosines from which a language's floor at a length is known; with fewer that of all languages counts.
+LEAST = 20
+#: Sampled texts are also cut to each power of two of characters up to this one.
+PART = 1 << 12
+CLASSES = 48
 #: Characters hashed at once, so a long text needs no more memory.
 CHUNK = 1 << 20
 
@@ -64,13 +69,20 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return np.divide(rows, norm, out=np.zeros_like(rows, dtype=np.float64), where=norm > 0)
 
 
-def _length_class(chars: np.ndarray | int) -> np.ndarray:
-    return np.minimum(np.log2(np.maximum(chars, 1)).astype(int), 15)
+def _length_class(counts: np.ndarray) -> int:
+    """Powers of two in the number of characters whose n-grams were counted."""
+    return min(max(int(counts.sum()) // len(SIZES) - 1, 1).bit_length() - 1, CLASSES - 1)
+
+
+def _part(text: str) -> str:
+    """At most PART characters around the middle, from the start of a word if there is one."""
+    at = max(len(text) - PART, 0) // 2
+    return text[at if at == 0 else text.find(" ", at, at + 100) + 1 or at :][:PART]
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Centroids as rows, the language of each, inverse document frequencies, least cosine by length class."""
+    """Centroids as rows, the language of each, inverse document frequencies, least cosine by language and length class."""
 
     languages: tuple[str, ...]
     owners: np.ndarray
@@ -85,10 +97,12 @@ class LanguageModel:
         """Language, cosine and whether the text is rejected; `und`, 0 and true without a letter."""
         if not text or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, True
-        cosines = self.centroids @ self.vector(gram_counts(text))
+        counts = gram_counts(text)
+        cosines = self.centroids @ self.vector(counts)
         best = int(np.argmax(cosines))
         score = float(min(max(cosines[best], 0.0), 1.0))
-        return self.languages[self.owners[best]], score, bool(score < self.floors[_length_class(len(text))])
+        owner = self.owners[best]
+        return self.languages[owner], score, bool(score == 0 or score < self.floors[owner, _length_class(counts)])
 
 
 def _cluster(vectors: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -108,11 +122,42 @@ def _cluster(vectors: np.ndarray, k: int, seed: int) -> np.ndarray:
     return centers
 
 
+def _sums(vectors: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per centroid the sum of its texts' vectors, and how many they are.
+
+    Where a language has LEAST texts, one text alone, be it mislabelled or no language, is no centroid.
+    """
+    owner = np.argmax(vectors @ centers.T, axis=1)
+    sizes = np.bincount(owner, minlength=len(centers))
+    keep = np.flatnonzero(sizes > (1 if len(vectors) >= LEAST else 0))
+    return np.stack([vectors[owner == i].sum(axis=0) for i in keep]), sizes[keep]
+
+
+def _floors(cosines: dict[str, dict[int, np.ndarray]], languages: tuple[str, ...]) -> np.ndarray:
+    """Per language and length class the least cosine; a class with too few texts takes the nearest shorter one, else longer one."""
+
+    def lows(by_class: dict[int, np.ndarray], least: int) -> np.ndarray:
+        known = sorted(c for c, x in by_class.items() if len(x) >= least)
+        if not known:
+            return np.full(CLASSES, np.nan)
+        nearest = [max([k for k in known if k <= c], default=known[0]) for c in range(CLASSES)]
+        return SLACK * np.array([np.quantile(by_class[k], LOW) for k in nearest])
+
+    together = {c: np.concatenate([x[c] for x in cosines.values() if c in x]) for c in range(CLASSES) if any(c in x for x in cosines.values())}
+    pooled = lows(together, LEAST)
+    if np.isnan(pooled).any():
+        pooled = np.nan_to_num(lows(together, 1))
+    own = [lows(cosines.get(lang, {}), LEAST) for lang in languages]
+    return np.array([np.where(np.isnan(x), pooled, x) for x in own]).reshape(len(languages), CLASSES)
+
+
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Learns from rows with a language. Document frequencies count every text; centroids take SAMPLE per language.
 
     The sample is drawn by a hash of the id. Null or letterless texts teach nothing; with
-    no usable row every text is `und`.
+    no usable row every text is `und`. Floors come from cosines of the sampled texts, whole
+    and cut to shorter ones, to centroids without the text itself; languages of one text
+    each therefore reject only what shares no n-gram with them.
     """
     rows = text_table(labelled.filter(F.col(lang_col).isNotNull()), id_col, text_col, F.col(lang_col).cast("string").alias("lang"))
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
@@ -133,10 +178,10 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                 seen[used] += 1
                 texts += 1
                 if take:
-                    picked.append((lang, draw, len(text), used.tolist(), counts[used].tolist()))
+                    picked.append((lang, draw, len(text), used.tolist(), counts[used].tolist(), _part(text)))
         for at in range(0, len(picked), 64):
             yield _picked(picked[at : at + 64])
-        yield _picked([(None, 0.0, texts, np.flatnonzero(seen).tolist(), seen[seen > 0].tolist())])
+        yield _picked([(None, 0.0, texts, np.flatnonzero(seen).tolist(), seen[seen > 0].tolist(), None)])
 
     # Per task one row of frequencies, merged bin by bin, and the sampled texts' counts.
     counted = rows.mapInArrow(count, _PICKED)
@@ -148,38 +193,60 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     for r in pairs.collect():
         seen[r["bins"]] = r["df"]
     idf = np.log((1.0 + texts) / (1.0 + seen)) + 1.0
-    sample = counted.filter(F.col("lang").isNotNull()).collect()
+    sample = counted.filter(F.col("lang").isNotNull()).drop("part").collect()
     by_lang: dict[str, list] = {}
     for r in sorted(sample, key=lambda r: (r["lang"], r["draw"])):
         by_lang.setdefault(r["lang"], []).append(r)
     languages = tuple(sorted(by_lang))
-    owners, centers, lows = [], [], np.ones(16)
-    kept: list[tuple[np.ndarray, np.ndarray]] = []
+    owners, centers = [], []
+    # Per language: sums of vectors by centroid, texts by centroid, the last draw that was taken.
+    held: dict[str, tuple[np.ndarray, np.ndarray, float]] = {}
     for i, lang in enumerate(languages):
         chosen = by_lang[lang][:SAMPLE]
         vectors = np.zeros((len(chosen), BINS))
         for j, r in enumerate(chosen):
             vectors[j, r["bins"]] = np.log1p(r["counts"])
         vectors = _unit(vectors * idf)
-        found = _cluster(vectors, CENTROIDS, i)
-        owners += [i] * len(found)
-        centers.append(found)
-        kept.append((vectors @ found.T, np.array([r["chars"] for r in chosen])))
-    for cosines, chars in kept:
-        np.minimum.at(lows, _length_class(chars), cosines.max(axis=1))
-    # Shorter texts are farther off: a class without a sample takes the lowest of the longer ones.
-    lows = np.minimum.accumulate(lows[::-1])[::-1]
-    floors = np.where(np.arange(16) < 6, 0.0, lows * SLACK)
+        sums, members = _sums(vectors, _cluster(vectors, CENTROIDS, i))
+        owners += [i] * len(sums)
+        centers.append(_unit(sums))
+        held[lang] = (sums, members, chosen[-1]["draw"])
+    shared = labelled.sparkSession.sparkContext.broadcast((held, idf))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, idf = shared.value
+        for batch in slices(batches, 64):
+            found = []
+            for r in batch.to_pylist():
+                sums, members, last = held[r["lang"]]
+                counts = np.zeros(BINS, dtype=np.int64)
+                counts[r["bins"]] = r["counts"]
+                whole = _unit(np.log1p(counts) * idf)
+                others = _unit(sums)
+                if r["draw"] <= last:
+                    own = int(np.argmax(others @ whole))
+                    others[own] = _unit(sums[own] - whole) if members[own] > 1 else 0.0
+                found.append((r["lang"], _length_class(counts), float((others @ whole).max())))
+                cuts = [r["part"][: 1 << c] for c in range(len(r["part"]).bit_length())]
+                for counts in (gram_counts(t) for t in cuts if has_letter(t)):
+                    found.append((r["lang"], _length_class(counts), float((others @ _unit(np.log1p(counts) * idf)).max())))
+            columns = [pa.array(c, type=t) for c, t in zip(zip(*found), (pa.string(), pa.int32(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "class", "cosine"])
+
+    measured = counted.filter(F.col("lang").isNotNull()).mapInArrow(measure, "lang string, class int, cosine double").toPandas()
+    cosines: dict[str, dict[int, np.ndarray]] = {}
+    for (lang, length), x in measured.groupby(["lang", "class"])["cosine"]:
+        cosines.setdefault(lang, {})[int(length)] = x.to_numpy()
     centroids = np.concatenate(centers) if centers else np.zeros((0, BINS))
-    return LanguageModel(languages, np.array(owners, dtype=int), centroids, idf, floors)
+    return LanguageModel(languages, np.array(owners, dtype=int), centroids, idf, _floors(cosines, languages))
 
 
-_PICKED = "lang string, draw double, chars long, bins array<int>, counts array<long>"
+_PICKED = "lang string, draw double, chars long, bins array<int>, counts array<long>, part string"
 
 
 def _picked(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.string(), pa.float64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
-    names = ["lang", "draw", "chars", "bins", "counts"]
+    types = [pa.string(), pa.float64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.string()]
+    names = ["lang", "draw", "chars", "bins", "counts", "part"]
     return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], names=names)
 
 
