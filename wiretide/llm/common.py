@@ -22,9 +22,14 @@ def text_table(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataF
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
 
 
+def id_crc32(id_column: Column) -> Column:
+    """crc32 of the id as text, from 0 to 2^32 - 1; null ids count as empty text."""
+    return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary"))
+
+
 def fold(id_column: Column, parts: int) -> Column:
-    """crc32 of the id as text, modulo parts; null ids count as empty text."""
-    return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % parts
+    """crc32 of the id as text, modulo parts."""
+    return id_crc32(id_column) % parts
 
 
 def fresh_name(columns: list[str], name: str) -> str:

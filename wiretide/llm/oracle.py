@@ -62,4 +62,35 @@ SELECT page_id, host, path, rule, strict_hits, soft_terms,
     WHEN strict_hits > 0 OR soft_terms >= {SOFT_HITS} THEN 'block' ELSE 'allow' END AS verdict FROM v
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_mixing": OP2_MIXING, "op3_url_filter": OP3_URL_FILTER}
+# crc32 of the id's digits: every character, then eight steps of one bit.
+_CRC32 = """xor(4294967295::BIGINT, list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END))"""
+
+OP12_CONVERSATION_TRIE = f"""
+WITH s AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC32} % 6 AS h FROM (SELECT DISTINCT conv_id FROM s)),
+r AS (
+  SELECT c.conv_id, 0 AS part, i, role, text FROM c JOIN s ON s.conv_id = c.base AND i <= h
+  UNION ALL SELECT c.conv_id, 1, i, role, text FROM c JOIN s ON s.conv_id = c.conv_id AND i > h),
+d AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, i) AS depth, role, text FROM r),
+p AS (
+  SELECT conv_id, depth, length(text) AS chars, list([role, text]) OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING) AS k FROM d
+  UNION ALL SELECT conv_id, 0, 0, [] FROM c),
+e AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS is_end FROM p),
+n AS (
+  SELECT k, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends_sha256 FROM e GROUP BY k, depth),
+u AS (SELECT n.*, q.k AS parent FROM n LEFT JOIN p q ON q.conv_id = n.conv_id AND q.depth = n.depth - 1),
+kids AS (SELECT parent AS k, count(*) AS n_children FROM u WHERE depth > 0 GROUP BY parent),
+below AS (
+  SELECT a.k, sum(u.saved) AS saved_tokens, count(*) FILTER (kids.n_children IS NULL) AS n_leaves
+  FROM u LEFT JOIN kids ON kids.k = u.k JOIN p a ON a.conv_id = u.conv_id AND a.depth <= u.depth GROUP BY a.k)
+SELECT u.conv_id, u.depth, o.conv_id AS parent_conv_id, u.n_convs, coalesce(kids.n_children, 0) AS n_children, n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, u.ends_sha256
+FROM u JOIN below USING (k) LEFT JOIN kids USING (k) LEFT JOIN n o ON o.k = u.parent
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_mixing": OP2_MIXING, "op3_url_filter": OP3_URL_FILTER, "op12_conversation_trie": OP12_CONVERSATION_TRIE}

@@ -8,8 +8,11 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiretide.llm import cover_tree, interpolation, language_id, mixing, near_duplicates, packing, repetition, token_files, toxicity, url_filter
-from wiretide.llm.common import fold, read_table, ship_package
+from wiretide.llm import (
+    conversation_trie, cover_tree, interpolation, language_id, license_scan, mixing, near_duplicates, packing, periodic_runs, repetition,
+    token_files, toxicity, url_filter,
+)
+from wiretide.llm.common import fold, id_crc32, read_table, ship_package
 from wiretide.sources.storage import materialize, work_folder
 
 WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -78,6 +81,25 @@ def op10_interpolation(spark, sf_dir):
     return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_license_scan(spark, sf_dir):
+    return license_scan.scan_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_trie(spark, sf_dir):
+    turns = read_table(spark, sf_dir, "conversations")
+    # Every conversation takes up to five turns of the first one of its hundred.
+    return conversation_trie.prefix_trie(turns, base=lambda c: c - c % 100, head=lambda c: id_crc32(c) % 6, most_head=5)
+
+
+def op13_periodic_runs(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    h = id_crc32(F.col("doc_id"))
+    g = F.floor(h / 10)
+    # A tenth of the texts gets a period planted, from a place and of a length that follow from the id.
+    planted = periodic_runs.with_period(docs.select("doc_id", "text"), h % 10 == 0, lambda n: g % n, lambda n, a: 1 + F.floor((n - a) / (3 + g % 8)))
+    return periodic_runs.summarize(planted)
+
+
 def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +113,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _with_package(f)
     for f in (
         op1_packing, op2_mixing, op3_url_filter, op4_language_id, op5_cover_tree, op6_repetition, op7_token_files,
-        op8_toxicity, op9_near_duplicates, op10_interpolation,
+        op8_toxicity, op9_near_duplicates, op10_interpolation, op11_license_scan, op12_conversation_trie, op13_periodic_runs,
     )
 }
