@@ -93,14 +93,14 @@ class Layout:
 
 
 def plan_layout(
-    rows: DataFrame, order: tuple[str, ...] = TIME_ORDER, options: LayoutOptions = LayoutOptions()
+    rows: DataFrame, order: tuple[str, ...] = TIME_ORDER, options: LayoutOptions = LayoutOptions(), n: int | None = None
 ) -> Layout:
     """Choose cut points for ``rows``, and hot flows if it has a ``flow_hash`` column.
 
-    Runs a narrow count and, where there is more than one slice, a sample of at most
-    about ``40 * max_slices`` rows of two or three longs.
+    Runs a narrow count, unless the number ``n`` is known, and, where there is more than one
+    slice, a sample of at most about ``40 * max_slices`` rows of two or three longs.
     """
-    n = rows.count()
+    n = rows.count() if n is None else n
     slices = min(options.max_slices, -(-n // options.rows_per_slice))
     if slices <= 1:
         return Layout(order)

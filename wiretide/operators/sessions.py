@@ -86,6 +86,20 @@ def state_as_slices(state: DataFrame) -> DataFrame:
     )
 
 
+def state_as_rows(state: DataFrame) -> DataFrame:
+    """Earlier flow state as one row before all packets of its flow, which stands for all it has had."""
+    return state.select(
+        *FLOW_KEYS,
+        F.col("last_us").alias("ts_us"),
+        F.col("bytes").alias("length"),
+        F.col("packets").alias("_weight"),
+        F.col("sessions").alias("_sessions"),
+        F.col("start_us").alias("_start_us"),
+        F.col("initiator_ip").alias("src_ip"),
+        F.lit(0).cast("bigint").alias("_rank"),
+    )
+
+
 def carry_into_slices(summaries: DataFrame, timeout_us: int) -> DataFrame:
     """What each (flow, slice) finds around it: the state after the slices before, and the next packet."""
     along = Window.partitionBy(*FLOW_KEYS).orderBy("flow_slice")
@@ -120,13 +134,18 @@ def scan_flows(
     ``initiator_ip``, ``total_packets_in_flow``, ``total_bytes`` and ``is_last`` (true
     on a session's last packet).
 
-    ``state`` holds one row per flow seen earlier, with ``CARRY_COLUMNS``.
+    ``state`` holds one row per flow seen earlier, with ``CARRY_COLUMNS``. Without hot flows
+    it is one more row of its flow, before all packets, so that nothing is scanned twice.
     """
     order, ts = layout.order, F.col("ts_us")
-    keys, carried = FLOW_KEYS, False
-    if layout.hot_flows or state is not None:
+    keys, carried, seeded = FLOW_KEYS, False, False
+    if state is not None and not layout.hot_flows:
+        seeded, order = True, ("_rank", *order)
+        one = F.lit(1).cast("bigint")
+        rows = rows.withColumns({"_rank": one, "_weight": one}).unionByName(state_as_rows(state), allowMissingColumns=True)
+    elif layout.hot_flows:
         keys, carried = SLICE_KEYS, True
-        rows = layout.with_flow_slice(rows) if layout.hot_flows else rows.withColumn("flow_slice", F.lit(-1))
+        rows = layout.with_flow_slice(rows)
         needed = rows if state is not None else rows.filter(F.col("flow_slice") >= 0)
         summaries = summarize_slices(needed, order, timeout_us)
         if state is not None:
@@ -143,7 +162,7 @@ def scan_flows(
     scanned = (
         rows.withColumn("previous_us", previous)
         .withColumn("_following", following)
-        .withColumn("_n", F.row_number().over(by_order).cast("bigint"))
+        .withColumn("_n", F.sum("_weight").over(run) if seeded else F.row_number().over(by_order).cast("bigint"))
         .withColumn("_bytes", F.sum("length").over(run))
         .withColumn("is_new", F.coalesce(_gap(ts, F.col("previous_us"), timeout_us), F.lit(True)).cast("bigint"))
         .withColumn("is_last", F.coalesce(_gap(F.col("_following"), ts, timeout_us), F.lit(True)))
@@ -154,8 +173,14 @@ def scan_flows(
         F.col("ts_us").alias("start_us"),
         F.col("src_ip").alias("initiator_ip"),
     )
-    session = F.sum("is_new").over(run)
-    base = F.last(F.when(F.col("is_new") == 1, opening), ignorenulls=True).over(run)
+    opened, opens = F.col("is_new"), F.when(F.col("is_new") == 1, opening)
+    if seeded:
+        seed = F.col("_rank") == 0
+        nothing = F.lit(0).cast("bigint")
+        inherited = F.struct(nothing.alias("n"), nothing.alias("bytes"), F.col("_start_us").alias("start_us"), F.col("src_ip").alias("initiator_ip"))
+        opened, opens = F.when(seed, F.col("_sessions")).otherwise(opened), F.when(seed, inherited).otherwise(opens)
+    session = F.sum(opened).over(run)
+    base = F.last(opens, ignorenulls=True).over(run)
     if carried:
         session = session + F.coalesce(F.col("_carry_sessions"), F.lit(0))
         inherited = F.struct(
@@ -173,6 +198,8 @@ def scan_flows(
         .withColumn("total_packets_in_flow", F.col("_n") - F.col("_base.n"))
         .withColumn("total_bytes", F.col("_bytes") - F.col("_base.bytes"))
     )
+    if seeded:
+        out = out.filter(F.col("_rank") == 1).drop("_rank", "_weight", "_start_us", "_sessions")
     helpers = ["_following", "_n", "_bytes", "_base", "flow_slice"] + [f"_carry_{c}" for c in (*CARRY_COLUMNS, "next_us")]
     return out.drop(*helpers)
 

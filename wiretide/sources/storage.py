@@ -30,6 +30,27 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, in place of an earlier one; it appears under its name once it is complete."""
+    fs, target = _filesystem(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    stream = fs.create(draft, True)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+    fs.delete(target, False)
+    if not fs.rename(draft, target):
+        raise OSError(f"cannot write '{path}'")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, source = _filesystem(spark, path)
+    stream = fs.open(source)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the session names it; none is invented."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

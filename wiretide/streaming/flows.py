@@ -2,17 +2,16 @@
 
 Each micro-batch is an ordinary table, so it runs through the same flow scan as
 a batch table and a hot flow is cut into slices in the same way. What carries
-over is a table of the flows still open and the totals behind the average flow
-time. Both are written to a shared folder once per micro-batch, under its number.
-A repeated micro-batch starts from the same earlier version and so gives the
-same result.
+over are the flows still open and the totals behind the average flow time. A
+micro-batch reads the records of the flows it touches and of those that ran out,
+and writes what changed, under its number.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,19 +23,8 @@ from wiretide.operators.packets import split_valid
 from wiretide.operators.sessions import duration_change_us, scan_flows
 from wiretide.plans.extract import feature_columns
 from wiretide.schemas import ExtractionConfig
-from wiretide.sources.storage import children, delete, exists
 from wiretide.streaming.delivery import Handler, deliver
-
-KEPT_VERSIONS = 3
-
-
-@dataclass(frozen=True)
-class Totals:
-    """Sums over everything seen so far."""
-
-    duration_us: int = 0
-    flows: int = 0
-    latest_us: int = -(2**62)
+from wiretide.streaming.store import MOST_BUCKETS, FlowStore, Totals, bucket_of
 
 
 @dataclass(frozen=True)
@@ -47,24 +35,47 @@ class Step:
     features: DataFrame
     closed_flows: DataFrame
     open_flows: DataFrame
+    # The newest record of every flow that is in one of the two, and whether it is open.
+    newest: DataFrame
     totals: DataFrame
 
 
+@dataclass(frozen=True)
+class Intake:
+    """The usable packets of a micro-batch with their flows, kept, and what one pass over them tells."""
+
+    rows: DataFrame
+    packets: int
+    flows: int
+    latest_us: int | None
+    buckets: frozenset[int]
+
+    @staticmethod
+    def of(packets: DataFrame) -> Intake:
+        rows = with_flow_identity(split_valid(packets)[0]).persist()
+        told = rows.agg(
+            F.count(F.lit(1)), F.approx_count_distinct("flow_hash"), F.max("ts_us"), F.collect_set(bucket_of(MOST_BUCKETS))
+        ).first()
+        return Intake(rows, told[0], told[1], told[2], frozenset(told[3]))
+
+
 def advance(
     packets: DataFrame,
     open_flows: DataFrame | None,
     totals: Totals,
     config: ExtractionConfig = ExtractionConfig(),
     options: LayoutOptions = LayoutOptions(),
+    intake: Intake | None = None,
 ) -> Step:
     """Take the next packets: their features, the flows that are over, and what is carried on.
 
-    Packets may come late; none is dropped. Like every clock that steps back, a
-    late packet adds no negative time.
+    ``open_flows`` needs the flows of these packets, and those that have run out and so are
+    to be closed; others may be absent. Packets may come late; none is dropped. Like every
+    clock that steps back, a late packet adds no negative time.
     """
-    usable, _ = split_valid(packets)
-    rows = with_flow_identity(usable)
-    layout = plan_layout(rows, TIME_ORDER, options)
+    intake = intake or Intake.of(packets)
+    rows = intake.rows
+    layout = plan_layout(rows, TIME_ORDER, options, intake.packets)
     state = None
     if open_flows is not None:
         state = open_flows.select(
@@ -82,56 +93,61 @@ def advance(
     # The last record of every session touched, and the sessions that were open before.
     records = flow_records(scanned.filter("is_last"))
     if open_flows is not None:
-        records = records.unionByName(open_flows.select(*records.columns))
+        # Ports keep the type that the packets give them.
+        records = records.unionByName(open_flows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in records.schema.fields]))
     names = [c for c in records.columns if c not in (*FLOW_KEYS, "session")]
     sessions = (
         records.groupBy(*FLOW_KEYS, "session")
         .agg(F.max_by(F.struct(*names), "total_packets").alias("_r"))
         .select(*FLOW_KEYS, "session", "_r.*")
     )
-    latest = usable.agg(F.greatest(F.max("ts_us"), F.lit(totals.latest_us)).alias("t")).scalar()
-    newest = F.max("session").over(Window.partitionBy(*FLOW_KEYS))
-    over = (F.col("session") < newest) | (latest - F.col("last_seen_us") > config.timeout_us)
-    sessions = sessions.withColumn("_over", over)
+    latest = max(totals.latest_us, totals.latest_us if intake.latest_us is None else intake.latest_us)
+    sessions = sessions.withColumn("_newest", F.max("session").over(Window.partitionBy(*FLOW_KEYS)))
+    last = F.col("session") == F.col("_newest")
+    alive = last & (F.lit(latest) - F.col("last_seen_us") <= config.timeout_us)
+    sessions = sessions.withColumns({"_last": last, "open": alive}).drop("_newest")
 
     sums = scanned.agg(
         (F.coalesce(F.sum(duration_change_us()), F.lit(0)) + totals.duration_us).alias("duration_us"),
         (F.coalesce(F.sum("is_new"), F.lit(0)) + totals.flows).alias("flows"),
-        F.greatest(F.max("ts_us"), F.lit(totals.latest_us)).alias("latest_us"),
+        F.lit(latest).alias("latest_us"),
     )
+    part = lambda rows: rows.drop("_last", "open")
     return Step(
-        scanned, features, sessions.filter("_over").drop("_over"), sessions.filter(~F.col("_over")).drop("_over"), sums
+        scanned, features, part(sessions.filter("NOT open")), part(sessions.filter("open")), sessions.filter("_last").drop("_last"), sums
     )
 
 
-class FlowStore:
-    """Open flows and totals, one version per micro-batch, in a folder all executors reach."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+class Progress:
+    """One micro-batch after the other through ``advance``, with the store between them."""
 
-    def _path(self, version: int, table: str) -> str:
-        return f"{self.folder}/version={version:012d}/{table}"
+    def __init__(self, store: FlowStore, config: ExtractionConfig = ExtractionConfig(), options: LayoutOptions = LayoutOptions()):
+        self.store, self.config, self.options = store, config, options
 
-    def _versions(self) -> list[int]:
-        names = [n for n in children(self.spark, self.folder) if n.startswith("version=")]
-        found = [int(n.split("=")[1]) for n in names]
-        # Totals are written last: a version without them is not complete.
-        return [v for v in found if exists(self.spark, f"{self._path(v, 'totals')}/_SUCCESS")]
-
-    def before(self, batch_id: int) -> tuple[DataFrame | None, Totals]:
-        earlier = [v for v in self._versions() if v < batch_id]
-        if not earlier:
-            return None, Totals()
-        version = max(earlier)
-        totals = self.spark.read.parquet(self._path(version, "totals")).first()
-        return self.spark.read.parquet(self._path(version, "open_flows")), Totals(**totals.asDict())
-
-    def write(self, batch_id: int, step: Step) -> None:
-        step.open_flows.write.mode("overwrite").parquet(self._path(batch_id, "open_flows"))
-        step.totals.write.mode("overwrite").parquet(self._path(batch_id, "totals"))
-        for version in [v for v in self._versions() if v < batch_id][:-KEPT_VERSIONS]:
-            delete(self.spark, f"{self.folder}/version={version:012d}")
+    def take(self, packets: DataFrame, batch_id: int, on_features: Handler | None = None, on_closed: Handler | None = None) -> None:
+        """The handlers get the features and the flows that ended; then the store goes on to this number."""
+        manifest = self.store.manifest_before(batch_id)
+        intake = Intake.of(packets)
+        totals, kept = manifest.totals, [intake.rows]
+        try:
+            latest = max(totals.latest_us, totals.latest_us if intake.latest_us is None else intake.latest_us)
+            horizon = latest - self.config.timeout_us
+            known = None
+            if manifest.runs:
+                flows = intake.rows.select(*FLOW_KEYS)
+                known = self.store.lookup(manifest, flows, set(intake.buckets), horizon).persist()
+                kept.append(known)
+            step = advance(packets, known, totals, self.config, self.options, intake)
+            kept.append(step.scan)
+            if on_features is not None:
+                on_features(step.features, batch_id)
+            if on_closed is not None:
+                on_closed(step.closed_flows, batch_id)
+            after = Totals(**step.totals.first().asDict())
+            self.store.commit(batch_id, manifest, step.newest, after, intake.flows, horizon)
+        finally:
+            for df in kept:
+                df.unpersist()
 
 
 def stream_features(
@@ -152,19 +168,11 @@ def stream_features(
     write under that number. Wrap it in ``isolated`` to go on after its errors. The
     trigger and the source's limit on files or offsets bound a micro-batch.
     """
-    spark = packets.sparkSession
-    store = FlowStore(spark, f"{folder}/state")
+    progress = Progress(FlowStore(packets.sparkSession, f"{folder}/state"), config, options)
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        step = advance(batch, *store.before(batch_id), config, options)
-        try:
-            on_features(step.features, batch_id)
-            if on_closed is not None:
-                on_closed(step.closed_flows, batch_id)
-            if on_rejected is not None:
-                on_rejected(split_valid(batch)[1], batch_id)
-            store.write(batch_id, step)
-        finally:
-            step.scan.unpersist()
+        progress.take(batch, batch_id, on_features, on_closed)
+        if on_rejected is not None:
+            on_rejected(split_valid(batch)[1], batch_id)
 
     return deliver(packets, take, folder, trigger)

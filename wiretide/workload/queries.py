@@ -22,7 +22,8 @@ from wiretide.plans.train import create_model, evaluate as evaluate_model, split
 from wiretide.schemas import ATTACK_CATEGORIES, FEATURE_ORDER, MICROS, PACKET_SCHEMA, DetectionConfig, ExtractionConfig
 from wiretide.sources import storage, tables
 from wiretide.streaming.delivery import write_under_batch
-from wiretide.streaming.flows import FlowStore, stream_features
+from wiretide.streaming.flows import stream_features
+from wiretide.streaming.store import FlowStore
 from wiretide.streaming.summary import end_mark, flow_summary_stream
 from wiretide.workload import views
 
