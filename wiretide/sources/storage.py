@@ -64,6 +64,13 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/wiretide/{name}-{uuid.uuid4().hex}"
 
 
+def use_shared_checkpoints(spark: SparkSession) -> None:
+    """Checkpoints of tables that Spark itself writes go to the shared folder, if the session has not said where."""
+    context = spark.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(f"{shared_folder(spark)}/wiretide/checkpoints")
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """The table, written to the shared folder and read back.
 

@@ -345,6 +345,14 @@ ORACLE_SQL = {
         """SELECT CAST(0 AS BIGINT) AS differences, CAST(sum(floor(n * 0.2 + 0.5)) AS BIGINT) AS rows
         FROM (SELECT count(*) AS n FROM good JOIN eval_pairs ON packet_id = id GROUP BY y_true) c"""
     ),
+    "evaluation_checks": _sql(
+        """SELECT label, support, true AS in_bounds, true AS f1_follows FROM (
+          SELECT y_true AS label, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS support FROM good JOIN eval_pairs ON packet_id = id GROUP BY y_true
+          UNION ALL SELECT name, CAST(sum(n) AS BIGINT) FROM (
+            SELECT floor(count(*) * 0.2 + 0.5) AS n FROM good JOIN eval_pairs ON packet_id = id GROUP BY y_true) c,
+            (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) t(name) GROUP BY name) r"""
+    ),
+    "score_stream_checks": _sql("SELECT packet_id, flow_id, CAST(1 AS BIGINT) AS times, true AS as_in_batch FROM flowed"),
     "prediction_checks": _sql(
         """SELECT packet_id, flow_id, true AS sum_to_one, true AS likeliest, true AS confidence_follows,
         true AS severity_follows, true AS label_follows, true AS risk_in_bounds

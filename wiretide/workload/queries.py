@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +37,6 @@ STREAM_BATCHES, STREAM_FILES = 4, 8
 CAPTURE_SECONDS = 900.0
 RECENT_FLOWS = 100
 FIXED_NOW = float(views.EPOCH_US // MICROS)
-# Forest of the registered training queries; the library default is 200 trees without a depth.
-FOREST = {"n_estimators": 20, "max_depth": 10}
 
 # So fine that even small tables take the way of large ones: slices, hot flows, crowded instants.
 CUT = LayoutOptions(rows_per_slice=700)
@@ -358,16 +357,28 @@ def labelled_csv(spark, sf):
     return encode.encode(rows, "label").select("flow_duration", "packet_length", "protocol", "total_bytes", "label")
 
 
-def _trained(spark, sf):
+def _train(spark, sf, **forest):
     # Training reads its table several times; the flow scan behind it should run once.
     table = storage.materialize(extract_features(views.labelled_packets(spark, sf), keep=("label",)), "training")
-    model = create_model("random_forest", **FOREST)
+    model = create_model("random_forest", **forest)
     train, test = split_and_train(model, table, "packet_id")
     return model, train, test
 
 
-def train_and_score(spark, sf):
-    model, _, test = _trained(spark, sf)
+_FORESTS: dict[tuple[str, str], tuple] = {}
+
+
+def _trained(spark, sf):
+    """The library's default forest on a table, trained once per application and shared by the queries below."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FORESTS:
+        _FORESTS[key] = _train(spark, sf)
+    return _FORESTS[key]
+
+
+def train_and_score(spark, sf, **forest):
+    """Predictions for the test rows, by the default forest or one with other settings."""
+    model, _, test = _train(spark, sf, **forest) if forest else _trained(spark, sf)
     return score(test, model, now=F.lit(FIXED_NOW), keep=("packet_id",))
 
 
@@ -376,6 +387,21 @@ def train_and_evaluate(spark, sf):
     return evaluate_model(model, test)[1]
 
 
+def evaluation_checks(spark, sf):
+    """What must hold of the report on a trained model: its rows, their supports, and how its numbers hang together."""
+    report = train_and_evaluate(spark, sf)
+    sums = F.col("precision") + F.col("recall")
+    f1 = F.when(sums > 0, 2 * F.col("precision") * F.col("recall") / F.nullif(sums, F.lit(0.0))).otherwise(0.0)
+    of_class = F.col("label").isin(*ATTACK_CATEGORIES)
+    bounded = [F.col(c).between(0.0, 1.0) for c in ("precision", "recall", "f1")]
+    return report.select(
+        "label",
+        F.col("support").cast("bigint").alias("support"),
+        (bounded[0] & bounded[1] & bounded[2]).alias("in_bounds"),
+        F.when(of_class, F.abs(F.col("f1") - f1) < 1e-9).otherwise(True).alias("f1_follows"),
+    )
+
+
 def saved_model(spark, sf):
     """Test rows, and those of them on which a model and its saved and reloaded copy differ: none."""
     model, _, test = _trained(spark, sf)
@@ -465,7 +491,22 @@ def summary_stream(spark, sf):
 
 def score_stream(spark, sf):
     """Predictions on a stream of feature rows, by a model trained on the same table."""
+    return _scored_stream(spark, sf, *_trained(spark, sf))
+
+
+def score_stream_checks(spark, sf):
+    """Every packet is scored once on the stream, with what the same model says in batch."""
     model, train, test = _trained(spark, sf)
+    names = ("attack_category", "confidence_score", "threat_label", "severity", "risk_score")
+    on_stream = _scored_stream(spark, sf, model, train, test).groupBy("packet_id", "flow_id")
+    on_stream = on_stream.agg(F.count(F.lit(1)).alias("times"), *[F.min(c).alias(f"_{c}") for c in names])
+    in_batch = score(tables.union_rows(train, test), model, now=F.lit(FIXED_NOW), keep=("packet_id",))
+    same = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"_{c}") for c in names])
+    joined = in_batch.select("packet_id", "flow_id", *names).join(on_stream, ["packet_id", "flow_id"], "full")
+    return joined.select("packet_id", "flow_id", F.coalesce("times", F.lit(0)).alias("times"), F.coalesce(same, F.lit(False)).alias("as_in_batch"))
+
+
+def _scored_stream(spark, sf, model, train, test):
     folder = storage.work_folder(spark, "score-stream")
     tables.union_rows(train, test).write.parquet(f"{folder}/features")
     schema = spark.read.parquet(f"{folder}/features").schema
@@ -492,6 +533,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feature_select, feature_encode, partial_dataset, scorable_split, class_weights, label_classes, dataset_profile,
         stratified_split, confusion, eval_metrics, classification_report, union_rows, packet_text, feature_text,
         packet_json, predictions, feature_csv, labelled_csv, train_and_score, train_and_evaluate, saved_model,
-        prediction_checks, packet_limit_large, features_stream, closed_flows_stream, summary_stream, score_stream,
+        evaluation_checks, score_stream_checks, prediction_checks, packet_limit_large, features_stream, closed_flows_stream, summary_stream, score_stream,
     )
 }
