@@ -268,3 +268,52 @@ def test_rows_without_a_label_are_never_test_rows(spark):
 def test_union_of_different_rows(spark):
     left, right = spark.createDataFrame([(1, "x")], "a int, b string"), spark.createDataFrame([(2.5, 2)], "c double, a int")
     assert sorted(tuple(r) for r in tables.union_rows(left, right).collect()) == [(1, "x", None), (2, None, 2.5)]
+
+
+# data sets as CSV
+
+
+def test_csv_rows_keep_their_identity_however_they_are_stored(spark, tmp_path):
+    lines = [f"{i % 50},{i % 3},{['ddos', 'benign', 'botnet'][i % 7 % 3]}" for i in range(2_000)] + ["9,9,benign"] * 700
+    for name, parts in (("one", 1), ("many", 9)):
+        folder = tmp_path / name
+        folder.mkdir()
+        own = lines if parts == 1 else lines[::-1]
+        for i in range(parts):
+            (folder / f"{i}.csv").write_text("\n".join(["packet_length,ttl,label", *own[i::parts]]) + "\n")
+    seen = []
+    for name, size in (("one", "128m"), ("one", "4k"), ("many", "1k")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            table = with_split(tables.read_labelled_csv(spark, str(tmp_path / name)), "label", "row_id")
+            seen.append(sorted((r.row_id, r.split) for r in table.select("row_id", "split").collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert seen[0] == seen[1] == seen[2] and len({i for i, _ in seen[0]}) == 2_700
+    assert abs(sum(s == "test" for _, s in seen[0]) - 540) <= 2
+
+
+def test_equal_rows_are_numbered_in_chunks(spark):
+    table = spark.range(1_000).selectExpr("id % 3 AS a", "if(id % 3 = 1, null, 'z') AS b")
+    for chunk in (1, 7, 100_000):
+        got = tables.with_row_id(table, chunk)
+        assert got.columns == ["row_id", "a", "b"] and got.select("row_id").distinct().count() == 1_000
+        ids = [r.row_id.split("-") for r in got.collect()]
+        assert sorted(int(n) for _, n in ids) == sorted([*range(334), *range(333), *range(333)])
+
+
+def test_records_with_a_cell_too_many_or_too_few_are_rejected(spark, tmp_path):
+    text = 'packet_length,ttl,label\n1,2,ddos\n3,4,5,6,ddos\n7,8\n"1,5",2,"x, ""y"""\n,,\n\n"a,b","c",1,2\n5,6,benign\n'
+    (tmp_path / "a.csv").write_text(text)
+    kept = tables.read_labelled_csv(spark, str(tmp_path))
+    assert sorted((r.packet_length, r.ttl, r.label) for r in kept.collect()) == [(0.0, 0.0, "UNKNOWN"), (0.0, 2.0, "UNKNOWN"), (1.0, 2.0, "DDOS"), (5.0, 6.0, "BENIGN")]
+    assert kept.count() == 4 and kept.select("label").distinct().count() == 3
+    rejects = tables.rejected_csv_rows(spark, str(tmp_path))
+    want = {("3,4,5,6,ddos", "5 cells in place of 3"), ("7,8", "2 cells in place of 3"), ('"a,b","c",1,2', "4 cells in place of 3")}
+    assert {(r.record, r.error) for r in rejects.collect()} == want and rejects.count() == 3
+    assert {r.file for r in rejects.collect()} == {"a.csv"}
+    (tmp_path / "empty.csv").write_text("packet_length,label\n")
+    with pytest.raises(ValueError, match="no rows"):
+        tables.read_labelled_csv(spark, str(tmp_path / "empty.csv"))
+    with pytest.raises(FileNotFoundError):
+        tables.rejected_csv_rows(spark, str(tmp_path / "absent.csv"))

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from wiretide.plans.extract import extract_features
 from wiretide.plans.score import score
 from wiretide.plans.train import create_model
 from wiretide.sources import tables
-from wiretide.streaming.delivery import deliver, isolated, write_under_batch
+from wiretide.streaming.delivery import dead_letters, deliver, delivered, each_record, isolated, write_under_batch
 from wiretide.streaming.flows import Progress, Totals, advance, stream_features
 from wiretide.streaming.store import FlowStore
 from wiretide.streaming.summary import end_mark, flow_summary_stream
@@ -113,6 +115,34 @@ def test_handler_errors_do_not_stop_a_stream(spark, table, tmp_path):
     assert [b for b, _ in seen] == [0, 1] and sum(n for _, n in seen) == table.count()
 
 
+def test_a_record_that_fails_is_a_dead_letter_and_the_others_are_delivered(spark, tmp_path):
+    path, schema = str(tmp_path / "out"), "id long, half double"
+
+    def half(record):
+        if record["id"] == 3:
+            raise KeyError("three")
+        if record["id"] == 17:
+            return {"id": "no number", "half": 1.0}
+        return {"id": record["id"], "half": record["id"] / record["d"]}
+
+    source = spark.range(20).selectExpr("id", "if(id = 5, 0, 2) AS d", "map('a', null) AS m", "struct(id AS x) AS s")
+    handler = each_record(half, path, schema)
+    handler(source.filter("id < 10"), 0)
+    handler(source.filter("id >= 10"), 1)
+    handler(source.filter("id >= 10"), 1)
+    handler(source.limit(0), 2)
+    got = {r.id: (r.half, r.batch) for r in delivered(spark, path, schema).collect()}
+    assert got == {i: (i / 2, i // 10) for i in range(20) if i not in (3, 5, 17)}
+    failed = {(json.loads(r.record)["id"], r.error.split(":")[0], r.batch) for r in dead_letters(spark, path).collect()}
+    assert failed == {(3, "KeyError", 0), (5, "ZeroDivisionError", 0), (17, "ArrowInvalid", 1)}
+    assert json.loads(dead_letters(spark, path).filter("batch = 1").first().record) == {"id": 17, "d": 2, "m": {"a": None}, "s": {"x": 17}}
+
+
+def test_callbacks_that_return_nothing(spark, tmp_path):
+    each_record(lambda r: 1 // r["id"], str(tmp_path / "out"))(spark.range(10), 4)
+    assert [(r.record, r.batch) for r in dead_letters(spark, str(tmp_path / "out")).collect()] == [('{"id":0}', 4)]
+
+
 def test_summary_stream_equals_the_batch_summary(spark, table, tmp_path):
     source, folder = str(tmp_path / "in"), str(tmp_path / "out")
     table.unionByName(end_mark(table), allowMissingColumns=True).coalesce(1).write.parquet(source)

@@ -345,6 +345,20 @@ ORACLE_SQL = {
         """SELECT CAST(0 AS BIGINT) AS differences, CAST(sum(floor(n * 0.2 + 0.5)) AS BIGINT) AS rows
         FROM (SELECT count(*) AS n FROM good JOIN eval_pairs ON packet_id = id GROUP BY y_true) c"""
     ),
+    "labelled_csv_split": _sql(
+        """SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(floor(n * 0.2 + 0.5)) AS BIGINT) AS test_rows, CAST(0 AS BIGINT) AS differences
+        FROM (SELECT count(*) AS n FROM packets JOIN eval_pairs ON packet_id = id GROUP BY y_true) c"""
+    ),
+    "labelled_csv_rejects": _sql(
+        """SELECT CASE WHEN packet_id % 19 = 0 THEN cells || ',5' ELSE packet_id || ',' || length END AS record,
+          CASE WHEN packet_id % 19 = 0 THEN '4' ELSE '2' END || ' cells in place of 3' AS error
+        FROM (SELECT packet_id, length, packet_id || ',' || length || ',' || lower(y_true) AS cells FROM packets JOIN eval_pairs ON packet_id = id) l
+        WHERE packet_id % 29 <> 0 AND (packet_id % 19 = 0 OR packet_id % 23 = 0)"""
+    ),
+    "delivery_stream": _sql(
+        f"""SELECT packet_id, CAST({_number('src_ip')} AS BIGINT) AS source,
+          CASE WHEN src_ip IS NULL OR src_ip = 'not_an_ip' THEN 'AddressValueError' END AS error FROM packets"""
+    ),
     "evaluation_checks": _sql(
         """SELECT label, support, true AS in_bounds, true AS f1_follows FROM (
           SELECT y_true AS label, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS support FROM good JOIN eval_pairs ON packet_id = id GROUP BY y_true

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ipaddress
 from collections.abc import Callable
 from functools import reduce
 
@@ -22,7 +23,7 @@ from wiretide.plans.score import assess, score
 from wiretide.plans.train import create_model, evaluate as evaluate_model, split_and_train
 from wiretide.schemas import ATTACK_CATEGORIES, FEATURE_ORDER, MICROS, PACKET_SCHEMA, DetectionConfig, ExtractionConfig
 from wiretide.sources import storage, tables
-from wiretide.streaming.delivery import write_under_batch
+from wiretide.streaming.delivery import dead_letters, deliver, delivered, each_record, write_under_batch
 from wiretide.streaming.flows import stream_features
 from wiretide.streaming.store import FlowStore
 from wiretide.streaming.summary import end_mark, flow_summary_stream
@@ -342,21 +343,55 @@ def feature_csv(spark, sf):
     return read.select(*[F.col(n).cast(f.split()[1]).alias(n) for n, f in zip(names, schema.split(", "))])
 
 
-def labelled_csv(spark, sf):
-    """A labelled data set with odd headers, written as CSV and loaded."""
+def _labelled_csv(spark, sf, parts=None) -> str:
+    """A labelled data set with odd headers, as CSV."""
     path = storage.work_folder(spark, "labelled-csv")
-    table = views.labelled_packets(spark, sf)
-    table.select(
+    table = views.labelled_packets(spark, sf).select(
         F.col("packet_id").cast("double").alias(" Flow Duration"),
         F.col("length").alias("Pkt Len"),
         F.lower("protocol").alias(" protocol "),
         F.translate(F.lower("label"), "_", "-").alias(" Label"),
-    ).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
-    mapping = {" Flow Duration": "flow_duration", "Pkt Len": "packet_length"}
-    rows = tables.read_labelled_csv(spark, path, "Label ", mapping)
+    )
+    table = table.repartition(parts) if parts else table
+    table.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return path
+
+
+CSV_NAMES = {" Flow Duration": "flow_duration", "Pkt Len": "packet_length"}
+
+
+def labelled_csv(spark, sf):
+    """A labelled data set with odd headers, written as CSV and loaded."""
+    rows = tables.read_labelled_csv(spark, _labelled_csv(spark, sf), "Label ", CSV_NAMES)
     return encode.encode(rows, "label").select("flow_duration", "packet_length", "protocol", "total_bytes", "label")
 
 
+def labelled_csv_split(spark, sf):
+    """The same data set stored in one file and in many: rows that fall on different sides of the split, none."""
+    sides = [with_split(tables.read_labelled_csv(spark, _labelled_csv(spark, sf, n), "Label ", CSV_NAMES), "label", "row_id") for n in (1, 13)]
+    left, right = (s.select("row_id", F.col("split").alias(name)) for s, name in zip(sides, "ab"))
+    joined = left.join(right, "row_id", "full")
+    differ = F.count_if(~F.col("a").eqNullSafe(F.col("b")))
+    return joined.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("a") == "test").alias("test_rows"), differ.alias("differences"))
+
+
+def _broken_csv(spark, sf) -> str:
+    """The labelled data set as lines, of which some have a cell too many and some lack one."""
+    path = storage.work_folder(spark, "broken-csv")
+    number, cells = F.col("packet_id"), F.concat_ws(",", F.col("packet_id").cast("string"), F.col("length").cast("string"), F.lower("label"))
+    line = F.when(number % 19 == 0, F.concat(cells, F.lit(",5"))).when(number % 23 == 0, F.substring_index(cells, ",", 2)).otherwise(cells)
+    quoted = F.when(number % 29 == 0, F.concat_ws(",", F.col("packet_id").cast("string"), F.lit('"1,5"'), F.lower("label"))).otherwise(line)
+    # One column of whole lines, whose name is the header of every file.
+    lines = views.labelled_packets(spark, sf).repartition(4, "packet_id").select(quoted.alias("packet_length,ttl,label"))
+    lines.write.csv(path, header=True, sep="\t", quote="")
+    return path
+
+
+def labelled_csv_rejects(spark, sf):
+    """Lines of a data set that have more or fewer cells than its header, with the reason."""
+    return tables.rejected_csv_rows(spark, _broken_csv(spark, sf)).select("record", "error")
+
+
 def _train(spark, sf, **forest):
     # Training reads its table several times; the flow scan behind it should run once.
     table = storage.materialize(extract_features(views.labelled_packets(spark, sf), keep=("label",)), "training")
@@ -448,6 +483,24 @@ def _packet_stream(spark, sf) -> DataFrame:
     return tables.stream_packets(spark, path, schema=packets.schema, maxFilesPerTrigger=STREAM_FILES)
 
 
+def _source_number(packet: dict) -> dict:
+    """A user's callback: fails on addresses that are none."""
+    return {"packet_id": packet["packet_id"], "source": int(ipaddress.IPv4Address(packet["src_ip"]))}
+
+
+def delivery_stream(spark, sf):
+    """Every packet of a stream handed to a callback; what came back, and why others failed."""
+    folder = storage.work_folder(spark, "delivery-stream")
+    schema = "packet_id long, source long"
+    handler = each_record(_source_number, f"{folder}/out", schema)
+    deliver(_packet_stream(spark, sf), handler, folder, {"availableNow": True}).awaitTermination()
+    taken = delivered(spark, f"{folder}/out", schema).drop("batch")
+    failed = dead_letters(spark, f"{folder}/out")
+    error = F.split_part("error", F.lit(":"), F.lit(1)).alias("error")
+    failed = failed.select(F.get_json_object("record", "$.packet_id").cast("bigint").alias("packet_id"), error)
+    return tables.union_rows(taken, failed)
+
+
 def features_stream(spark, sf):
     """Per-packet features from a stream that takes the whole table; the same rows as in batch."""
     folder = storage.work_folder(spark, "features-stream")
@@ -533,6 +586,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feature_select, feature_encode, partial_dataset, scorable_split, class_weights, label_classes, dataset_profile,
         stratified_split, confusion, eval_metrics, classification_report, union_rows, packet_text, feature_text,
         packet_json, predictions, feature_csv, labelled_csv, train_and_score, train_and_evaluate, saved_model,
-        evaluation_checks, score_stream_checks, prediction_checks, packet_limit_large, features_stream, closed_flows_stream, summary_stream, score_stream,
+        labelled_csv_split, labelled_csv_rejects, delivery_stream, evaluation_checks, score_stream_checks, prediction_checks, packet_limit_large, features_stream, closed_flows_stream, summary_stream, score_stream,
     )
 }
