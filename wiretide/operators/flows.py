@@ -9,6 +9,7 @@ from wiretide.functions.flowkey import FLOW_KEYS, with_endpoints, with_flow_iden
 from wiretide.functions.packets import connection_state
 from wiretide.operators.layout import TIME_ORDER, Layout, LayoutOptions, plan_layout
 from wiretide.operators.running import running_totals
+from wiretide.operators.select import TASK_ROWS, largest_rows
 from wiretide.operators.sessions import duration_change_us, scan_flows, with_flow_statistics
 from wiretide.schemas import MICROS, ExtractionConfig
 
@@ -110,9 +111,9 @@ def mean_flow_time(flows: DataFrame) -> DataFrame:
     return flows.agg(n.alias("flows"), mean.alias("avg_flow_time"))
 
 
-def most_recent_flows(flows: DataFrame, n: int) -> DataFrame:
-    """The n flow sessions seen last."""
-    return flows.orderBy(F.desc("last_seen_us"), "flow_id", "session").limit(n)
+def most_recent_flows(flows: DataFrame, n: int, task_rows: int = TASK_ROWS) -> DataFrame:
+    """The n flow sessions seen last, the latest first; n may be any share of them."""
+    return largest_rows(flows, n, "last_seen_us", "flow_id", "session", task_rows=task_rows)
 
 
 def add_avg_flow_time(

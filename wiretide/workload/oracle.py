@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wiretide.schemas import FEATURE_SCHEMA, PREDICTION_SCHEMA
 from wiretide.workload.queries import AS_OF_US, CAPTURE_PACKETS, CAPTURE_SECONDS, FIXED_NOW, LARGE_CAPTURE, RECENT_FLOWS
 from wiretide.workload.views import DUCKDB_VIEWS
 
@@ -156,6 +157,14 @@ _SECONDS = """CAST(ts_us // 1000000 AS VARCHAR) || '.' ||
   CASE WHEN ts_us % 1000000 = 0 THEN '0' ELSE rtrim(lpad(CAST(ts_us % 1000000 AS VARCHAR), 6, '0'), '0') END"""
 _BEST = "greatest(p_benign, p_ddos, p_phishing, p_scan)"
 
+def _fields(names) -> str:
+    return "'" + ",".join(sorted(names)) + "'"
+
+
+_FIELDS_OF_PACKET = _fields(
+    "packet_id src_ip dst_ip src_port dst_port protocol length ts_us ttl tcp_flags payload_size".split()
+)
+
 ORACLE_SQL = {
     "packet_filter": _sql(
         """SELECT packet_id, src_ip, dst_ip,
@@ -336,6 +345,46 @@ ORACLE_SQL = {
           CASE {_BEST} WHEN p_benign THEN 'BENIGN' WHEN p_ddos THEN 'DDOS' WHEN p_phishing THEN 'PHISHING'
             ELSE 'PORT_SCAN' END AS attack_category FROM probabilities) p) q"""
     ),
+    "packet_record_json": _sql(f"SELECT *, {_FIELDS_OF_PACKET} AS fields FROM packets"),
+    "feature_json": _sql(f"SELECT *, {_fields(FEATURE_SCHEMA.fieldNames())} AS fields FROM features"),
+    "prediction_json": _sql(
+        f"""SELECT id, attack_category, confidence_score,
+          CASE WHEN attack_category = 'BENIGN' THEN 'BENIGN' WHEN confidence_score < 50 THEN 'SUSPICIOUS' ELSE 'MALICIOUS' END AS threat_label,
+          {_severity('confidence_score')} AS severity, confidence_score * {_weight('attack_category')} AS risk_score, 'given' AS model_name,
+          CAST({FIXED_NOW} AS DOUBLE) AS prediction_timestamp, CAST(NULL AS VARCHAR) AS flow_id,
+          p_benign, p_ddos, p_phishing, p_scan AS p_port_scan, {_fields(['id', *PREDICTION_SCHEMA.fieldNames()])} AS fields
+        FROM (SELECT *, {_BEST} * 100.0 AS confidence_score,
+          CASE {_BEST} WHEN p_benign THEN 'BENIGN' WHEN p_ddos THEN 'DDOS' WHEN p_phishing THEN 'PHISHING'
+            ELSE 'PORT_SCAN' END AS attack_category FROM probabilities) p"""
+    ),
+    "recent_flows_half": _sql(
+        """SELECT flow_id, session, last_seen_us, total_packets
+        FROM (SELECT *, row_number() OVER (ORDER BY last_seen_us DESC, flow_id, session) AS place, count(*) OVER () AS total FROM summary) r
+        WHERE place <= total // 2"""
+    ),
+    "severity_by_table": _sql(
+        f"""SELECT id, CASE WHEN c IS NULL THEN NULL ELSE coalesce(
+            (SELECT r_name FROM region WHERE r_regionkey * 20 + 19.5 >= c ORDER BY r_regionkey LIMIT 1),
+            (SELECT r_name FROM region ORDER BY r_regionkey DESC LIMIT 1)) END AS severity
+        FROM (SELECT id, {_CLAMPED} AS c FROM scored) s"""
+    ),
+    "risk_by_table": _sql(
+        f"""SELECT id, category, greatest(least({_CLAMPED} * coalesce(weight, 0.5::DOUBLE), 100.0), 0.0) AS risk_score
+        FROM categories LEFT JOIN (SELECT y_true, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM eval_pairs) AS weight
+          FROM eval_pairs GROUP BY y_true) w ON y_true = category"""
+    ),
+    "feature_vector": _sql(
+        f"""SELECT packet_id, {_AS_NUMBERS}, {_code('protocol')}, {_code('direction')}, {_code('connection_state')}, 15 AS places
+        FROM features"""
+    ),
+    "packets_table": _sql(
+        """SELECT * REPLACE (CAST(src_port AS INTEGER) AS src_port, CAST(dst_port AS INTEGER) AS dst_port) FROM packets"""
+    ),
+    "stratified_split_many": _sql(
+        """SELECT id, class, CASE WHEN place <= floor(total * 0.3 + 0.5) THEN 'test' ELSE 'train' END AS split
+        FROM (SELECT id, 'c' || (id % 2003) AS class, row_number() OVER (PARTITION BY id % 2003 ORDER BY md5('42:' || CAST(id AS VARCHAR))) AS place,
+          count(*) OVER (PARTITION BY id % 2003) AS total FROM eval_pairs) r"""
+    ),
     "feature_csv": _sql("SELECT packet_id, flow_id, direction, total_bytes, byte_rate, '{}' AS extra FROM features"),
     "labelled_csv": _sql(
         f"""SELECT CAST(packet_id AS DOUBLE) AS flow_duration, CAST(length AS DOUBLE) AS packet_length, {_code('protocol')},

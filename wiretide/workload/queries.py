@@ -6,6 +6,8 @@ import ipaddress
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from wiretide.operators.split import with_split
 from wiretide.plans.extract import extract_features
 from wiretide.plans.score import assess, score
 from wiretide.plans.train import create_model, evaluate as evaluate_model, split_and_train
-from wiretide.schemas import ATTACK_CATEGORIES, FEATURE_ORDER, MICROS, PACKET_SCHEMA, DetectionConfig, ExtractionConfig
+from wiretide.schemas import ATTACK_CATEGORIES, FEATURE_ORDER, MICROS, PACKET_SCHEMA, PREDICTION_SCHEMA, DetectionConfig, ExtractionConfig
 from wiretide.sources import storage, tables
 from wiretide.streaming.delivery import dead_letters, deliver, delivered, each_record, write_under_batch
 from wiretide.streaming.flows import stream_features
@@ -219,6 +221,13 @@ def recent_flows_topk(spark, sf):
     )
 
 
+def recent_flows_half(spark, sf):
+    """The half of the flow sessions that was seen last, found without an ordered list of them."""
+    summary = storage.materialize(flows.flow_summary(_usable(spark, sf)), "summary")
+    chosen = flows.most_recent_flows(summary, summary.count() // 2, task_rows=10)
+    return chosen.select("flow_id", "session", "last_seen_us", "total_packets")
+
+
 def normalize_label(spark, sf):
     return views.scored(spark, sf).select("id", threat.normalize_category(F.col("raw_label")).alias("category"))
 
@@ -237,6 +246,20 @@ def risk_score(spark, sf):
     return views.scored(spark, sf).select("id", threat.risk_score(category, F.col("confidence")).alias("risk_score"))
 
 
+def severity_by_table(spark, sf):
+    """Severity bands taken from a table: one per region, twenty points each."""
+    bands = spark.read.parquet(f"{sf}/region.parquet").select(F.col("r_name").alias("name"), (F.col("r_regionkey") * 20 + 19.5).alias("upper"))
+    return threat.with_severity_from_table(views.scored(spark, sf), bands).select("id", "severity")
+
+
+def risk_by_table(spark, sf):
+    """Category weights taken from a table: the share of each class among the labelled rows."""
+    pairs = views.eval_pairs(spark, sf)
+    weights = pairs.groupBy(F.col("y_true").alias("category")).agg((F.count(F.lit(1)) / F.lit(pairs.count())).alias("weight"))
+    rows = views.scored(spark, sf).withColumn("category", threat.normalize_category(F.col("raw_label")))
+    return threat.with_risk_from_table(rows, weights, 0.5).select("id", "category", "risk_score")
+
+
 def feature_select(spark, sf):
     return encode.select_inputs(extract_features(views.packets(spark, sf), avg_flow_time=True), "packet_id")
 
@@ -246,6 +269,22 @@ def feature_encode(spark, sf):
     return encode.encode(encode.select_inputs(features, "packet_id"), "packet_id")
 
 
+def feature_vector(spark, sf):
+    """The vector that a model is given, place by place under the names of the inputs."""
+    features = extract_features(views.packets(spark, sf), avg_flow_time=True)
+    vectors = PipelineModel(encode.encoding_stages()).transform(features).select("packet_id", vector_to_array("_vector").alias("v"))
+    return vectors.select("packet_id", *[F.get("v", F.lit(i)).alias(c) for i, c in enumerate(FEATURE_ORDER)], F.size("v").alias("places"))
+
+
+def packets_table(spark, sf):
+    """Packets written as a table and read by the library's own reader and schema."""
+    path = storage.work_folder(spark, "packets-table")
+    packets = views.packets(spark, sf)
+    known = [F.col(f.name).cast(f.dataType).alias(f.name) for f in PACKET_SCHEMA.fields if f.name in packets.columns]
+    packets.select(*known).write.parquet(path)
+    return tables.read_packets(spark, path).drop("window_size")
+
+
 def partial_dataset(spark, sf):
     """Training rows from a table of text that lacks most columns."""
     table = views.labelled_packets(spark, sf).select(
@@ -285,6 +324,12 @@ def stratified_split(spark, sf):
     return with_split(views.eval_pairs(spark, sf), "y_true", "id").select("id", "y_true", "split")
 
 
+def stratified_split_many(spark, sf):
+    """A split by so many classes that their cuts are a joined table."""
+    rows = views.eval_pairs(spark, sf).select("id", F.concat(F.lit("c"), (F.col("id") % 2003).cast("string")).alias("class"))
+    return with_split(rows, "class", "id", 0.3).select("id", "class", "split")
+
+
 def confusion(spark, sf):
     return evaluate.confusion(views.eval_pairs(spark, sf))
 
@@ -318,15 +363,42 @@ def packet_json(spark, sf):
     return text.as_json(record)
 
 
-def predictions(spark, sf):
-    """Predictions from given class probabilities."""
+def _read_back(records: DataFrame) -> DataFrame:
+    """The fields of records, from their JSON form, and the names it has."""
+    value = text.as_json(records).withColumn("fields", F.array_join(F.array_sort(F.json_object_keys("value")), ","))
+    return value.select(F.from_json("value", records.schema).alias("r"), "fields").select("r.*", "fields")
+
+
+def packet_record_json(spark, sf):
+    """Whole packet records as JSON, and what a reader finds in it."""
+    return _read_back(views.packets(spark, sf))
+
+
+def feature_json(spark, sf):
+    """Whole feature records as JSON, and what a reader finds in it."""
+    return _read_back(extract_features(views.packets(spark, sf))).drop("extra", "window_size")
+
+
+def _prediction_records(spark, sf) -> DataFrame:
+    """Prediction records from given class probabilities, under the id of their row."""
     classes = ["BENIGN", "DDOS", "PHISHING", "PORT_SCAN"]
-    table = views.probabilities(spark, sf)
     columns = assess(F.array("p_benign", "p_ddos", "p_phishing", "p_scan"), classes, "given", DetectionConfig(), F.lit(FIXED_NOW))
-    out = table
+    out = views.probabilities(spark, sf).withColumn("flow_id", F.lit(None).cast("string"))
     for name, column in columns.items():
         out = out.withColumn(name, column)
-    out = out.withColumn("summary", text.prediction_summary())
+    return out.select("id", *PREDICTION_SCHEMA.fieldNames())
+
+
+def prediction_json(spark, sf):
+    """Whole prediction records as JSON, and what a reader finds in it."""
+    read = _read_back(_prediction_records(spark, sf))
+    chances = [F.element_at("class_probabilities", c).alias(f"p_{c.lower()}") for c in ("BENIGN", "DDOS", "PHISHING", "PORT_SCAN")]
+    return read.select("*", *chances).drop("class_probabilities")
+
+
+def predictions(spark, sf):
+    """Predictions from given class probabilities."""
+    out = _prediction_records(spark, sf).withColumn("summary", text.prediction_summary())
     return out.select(
         "id", "attack_category", "confidence_score", "threat_label", "severity", "risk_score", "prediction_timestamp",
         F.element_at("class_probabilities", "DDOS").alias("ddos_probability"), "summary",
@@ -586,6 +658,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feature_select, feature_encode, partial_dataset, scorable_split, class_weights, label_classes, dataset_profile,
         stratified_split, confusion, eval_metrics, classification_report, union_rows, packet_text, feature_text,
         packet_json, predictions, feature_csv, labelled_csv, train_and_score, train_and_evaluate, saved_model,
-        labelled_csv_split, labelled_csv_rejects, delivery_stream, evaluation_checks, score_stream_checks, prediction_checks, packet_limit_large, features_stream, closed_flows_stream, summary_stream, score_stream,
+        recent_flows_half, severity_by_table, risk_by_table, feature_vector, packets_table, stratified_split_many,
+        packet_record_json, feature_json, prediction_json, labelled_csv_split, labelled_csv_rejects, delivery_stream, evaluation_checks, score_stream_checks, prediction_checks, packet_limit_large, features_stream, closed_flows_stream, summary_stream, score_stream,
     )
 }
