@@ -9,6 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wiretide.sources.package import ship_package
+
+__all__ = ["ship_package"]
+
 WORD = r"[^\x20\x09-\x0D]+"
 U64 = np.uint64
 
@@ -17,9 +21,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def column(name: str) -> Column:
+    """The column of that very name, dots and quotes in it included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def text_table(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """The columns an operator works on, whatever else the table has."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
+    return docs.select(column(id_col).cast("long").alias("doc_id"), column(text_col).cast("string").alias("text"), *more)
 
 
 def id_crc32(id_column: Column) -> Column:
@@ -60,12 +69,20 @@ def row_pass(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], sc
 def filter_pass(df: DataFrame, text_col: str, keep: Callable[[list], np.ndarray]) -> DataFrame:
     """The rows whose texts `keep` accepts, with all their columns, without a shuffle."""
 
+    at = df.columns.index(text_col)
+
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            mask = np.asarray(keep(part.column(text_col).to_pylist()), dtype=bool)
+            mask = np.asarray(keep(part.column(at).to_pylist()), dtype=bool)
             yield part.filter(pa.array(mask))
 
-    return df.mapInArrow(over, df.schema)
+    plain = plainly_named(df)
+    return plain.mapInArrow(over, plain.schema).toDF(*df.columns)
+
+
+def plainly_named(df: DataFrame) -> DataFrame:
+    """The table with its columns numbered: Spark's passes over Arrow batches take no names with dots."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -152,22 +169,3 @@ def blocks_of(texts: list, limit: int) -> Iterator[tuple[int, int]]:
         total += size
     if begin < len(texts):
         yield begin, len(texts)
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once per application.
-
-    Needed where it is not installed on them; the workers run functions of these modules.
-    """
-    import shutil
-    import tempfile
-    from pathlib import Path
-
-    context = spark.sparkContext
-    if getattr(context, "_wiretide_shipped", False):
-        return
-    package = Path(__file__).resolve().parents[1]
-    target = tempfile.mkdtemp(prefix="wiretide-package-")
-    # The driver's file server hands the archive out, so the folder may be the driver's own.
-    context.addPyFile(shutil.make_archive(f"{target}/{package.name}", "zip", package.parent, package.name))
-    context._wiretide_shipped = True

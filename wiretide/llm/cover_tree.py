@@ -191,8 +191,9 @@ def near_vectors(table: DataFrame, cosine: float = COSINE, id_col: str = "vec_id
 
     Vectors that are null, empty, zero or hold a null or non-finite component, and those
     without a label, link with nothing; so do vectors of different lengths. Equal vectors
-    of a label are one point with a weight, however many there are. Ids should be unique;
-    rows with one id and different vectors are one node.
+    of a label are one point with a weight, however many there are. Rows with one id are one
+    node: they have one component, which joins what is near any of their vectors, and the
+    links of all of them are counted for each.
     """
     vector = F.col(vector_col).cast("array<double>").alias("v")
     table = table.select(F.col(id_col).cast("long").alias("id"), vector, F.col(label_col).cast("string").alias("label"))
@@ -277,12 +278,17 @@ def near_vectors(table: DataFrame, cosine: float = COSINE, id_col: str = "vec_id
 
     found = materialize(units.mapInArrow(compare, "id long, links long, other long"), "vector-links")
     counts = found.filter("other is null").groupBy("id").agg(F.sum("links").alias("links"))
-    joined = connected_components(found.filter("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
+    # An id whose rows differ in their vectors joins the points of all of them.
+    point = F.coalesce(F.xxhash64("v", F.concat_ws("/", F.size("v"), "label")), F.lit(0))
+    differ = rows.filter(F.col("id").isNotNull()).groupBy("id").agg(F.min(point).alias("low"), F.max(point).alias("high")).filter("low <> high").select("id")
+    repeated = rows.filter(F.col("v").isNotNull()).join(differ, "id", "left_semi").withColumn("label", F.concat_ws("/", F.size("v"), "label"))
+    repeated = repeated.select(F.col("id").alias("a"), "label", "v").join(points.select("label", "v", F.col("id").alias("b")), ["label", "v"]).select("a", "b")
+    joined = materialize(connected_components(found.filter("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")).unionAll(repeated)), "vector-components")
     heads = points.select("label", "v", F.col("id").alias("head")).join(counts.withColumnRenamed("id", "head"), "head", "left")
-    heads = heads.join(joined.withColumnRenamed("node", "head"), "head", "left")
     key = F.when(F.col("v").isNotNull(), F.concat_ws("/", F.size("v"), "label"))
-    out = rows.select("id", "v", key.alias("label")).join(heads, ["label", "v"], "left")
-    component = F.coalesce("component", "head", "id")
+    out = rows.select("id", "v", key.alias("label")).join(heads, ["label", "v"], "left").withColumn("head", F.coalesce("head", "id"))
+    out = out.join(joined.withColumnRenamed("node", "head"), "head", "left")
+    component = F.coalesce("component", "head")
     return out.select(
         F.col("id").alias(id_col),
         # A vector is always linked with itself, which is no link.

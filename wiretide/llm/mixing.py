@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wiretide.llm.common import WORD, fresh_name
+from wiretide.llm.common import WORD, column, fresh_name
 
 MOST_COPIES = 3
 
@@ -70,11 +70,11 @@ def with_copies(rows: DataFrame, source_col: str, id_col: str, size: Column, see
     different documents; a null id counts as empty text.
     """
     slots = F.greatest(F.lit(1), F.ceil(F.sqrt(F.lit(rows.count())))).cast("long")
-    draw_id = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    draw_id = F.coalesce(column(id_col).cast("string"), F.lit(""))
     inner = rows.withColumn(
         into,
         F.struct(
-            F.concat(F.lit("="), F.col(source_col)).alias("source"),
+            F.concat(F.lit("="), column(source_col)).alias("source"),
             size.alias("size"),
             _stratum(size).alias("stratum"),
             F.floor(unit_draw(seed, draw_id) * slots).cast("long").alias("slot"),
@@ -99,10 +99,9 @@ def with_copies(rows: DataFrame, source_col: str, id_col: str, size: Column, see
         .select(F.struct(*block).alias("block"), F.struct((F.col("slots_before") + F.col("strata_before")).alias("before"), "source_size", "target", "rate").alias("base"))
     )
     key = F.struct(*[F.col(f"{into}.{c}").alias(c) for c in block])
-    in_block = Window.partitionBy(*[F.col(f"{into}.{c}") for c in block]).orderBy(F.col(f"{into}.order"), F.col(id_col))
+    in_block = Window.partitionBy(*[F.col(f"{into}.{c}") for c in block]).orderBy(F.col(f"{into}.order"), column(id_col))
     ranked = inner.withColumn(into, F.col(into).withField("rank", F.row_number().over(in_block).cast("long")))
-    names = ranked.columns
-    left = ranked.select(F.struct(*names).alias("row"), *[F.col(f"{into}.{c}").alias(f"k_{c}") for c in block])
+    left = ranked.select(F.struct(*map(column, ranked.columns)).alias("row"), *[F.col(f"{into}.{c}").alias(f"k_{c}") for c in block])
     right = base.select(*[F.col(f"block.{c}").alias(f"k_{c}") for c in block], "base")
     joined = left.join(right, [f"k_{c}" for c in block])
     mix = F.col(f"row.{into}")
@@ -119,6 +118,6 @@ def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_
     Null texts have no words; null sources are one source. An empty table gives none.
     """
     into = fresh_name(docs.columns, "mix")
-    taken = with_copies(docs, source_col, id_col, word_count(F.col(text_col)), seed, into)
+    taken = with_copies(docs, source_col, id_col, word_count(column(text_col)), seed, into)
     again = fresh_name([*docs.columns, into], "copy")
-    return taken.filter(F.col(into)["copies"] > 0).withColumn(again, F.explode(F.sequence(F.lit(1), F.col(into)["copies"]))).select(*docs.columns)
+    return taken.filter(F.col(into)["copies"] > 0).withColumn(again, F.explode(F.sequence(F.lit(1), F.col(into)["copies"]))).select(*map(column, docs.columns))

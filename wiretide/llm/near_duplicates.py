@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wiretide.llm.common import U64, Words, blocks_of, fresh_name, mix64, pair_hash, row_pass, text_table
+from wiretide.llm.common import U64, Words, blocks_of, column, fresh_name, mix64, pair_hash, row_pass, text_table
 from wiretide.llm.components import connected_components
 from wiretide.sources.storage import materialize
 
@@ -234,7 +234,8 @@ def near_duplicates(
     """Per row: doc_id, n_shingles, component_id, kept.
 
     Null, empty and wordless texts have no shingle and link with nothing. Rows with one
-    id are one node of the link graph. Rows without an id link with nothing and are kept,
+    id are one node of the link graph, so an id with several texts joins what is near any of
+    them and has one component. Rows without an id link with nothing and are kept,
     without a component.
     """
     signed = materialize(signatures(docs, shingle, id_col, text_col), "signatures")
@@ -287,7 +288,12 @@ def near_duplicates(
     pairs = left.join(right, (left["band"] == right["band"]) & (F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & (F.col("center_a") != F.col("center_b")) & _near(percent))
     pairs = pairs.select("a", "b").distinct()
     more = _confirmed(pairs, texts, shingle, percent)
-    final = materialize(connected_components(links.unionAll(more)), "components")
+    # An id whose rows differ in their sets joins the classes of all of them.
+    sets = signed.filter("doc_id is not null").groupBy("doc_id").agg(*[F.min(c).alias(f"{c}_low") for c in same_set], *[F.max(c).alias(f"{c}_high") for c in same_set])
+    several = sets.filter(" or ".join(f"{c}_low <> {c}_high" for c in same_set)).select("doc_id")
+    repeated = usable.join(several, "doc_id", "left_semi").select("doc_id", *same_set).distinct().join(classes, same_set)
+    links = links.unionAll(more).unionAll(repeated.select(F.col("doc_id").alias("a"), F.col("first").alias("b")))
+    final = materialize(connected_components(links), "components")
 
     of_class = classes.filter("size > 1").select(*same_set, "first")
     rows = signed.select("doc_id", *same_set).join(of_class, same_set, "left")
@@ -298,8 +304,20 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows but those whose component has a smaller id, with all their columns."""
-    found = near_duplicates(docs, shingle, percent, id_col, text_col)
-    dropped = fresh_name(docs.columns, "dropped")
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias(dropped)).distinct()
-    return docs.join(gone, F.col(id_col) == F.col(dropped), "left_anti")
+    """One row of each group of near copies, with all its columns, and all rows without a word.
+
+    Every row is a document of its own here, whatever its id: repeated rows and rows without an
+    id are copies like others, and different texts under one id are kept apart. The row with the
+    smallest id stays (none counts as the largest), of several with one id the first as stored.
+    """
+    row, dropped = fresh_name(docs.columns, "row_number"), fresh_name(docs.columns, "dropped")
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(numbered, shingle, percent, row, text_col).select(F.col("doc_id").alias(row), "component_id")
+    # Groups are few where copies are: only rows of groups of two and more are looked at.
+    groups = materialize(found, "groups")
+    several = groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("component_id")
+    members = groups.join(several, "component_id").join(numbered.select(row, column(id_col).cast("long").alias("id")), row)
+    members = materialize(members.select("component_id", F.struct(F.col("id").isNull().alias("last"), "id", F.col(row).alias("row")).alias("m")), "members")
+    stays = members.groupBy("component_id").agg(F.min("m").alias("stays"))
+    gone = members.join(stays, "component_id").filter(F.col("m.row") != F.col("stays.row")).select(F.col("m.row").alias(dropped))
+    return numbered.join(gone, F.col(row) == F.col(dropped), "left_anti").drop(row)

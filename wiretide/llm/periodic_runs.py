@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wiretide.llm.common import WORD, Words, blocks_of, fresh_name, row_pass, text_table
+from wiretide.llm.common import WORD, Words, blocks_of, column, fresh_name, plainly_named, row_pass, text_table
 
 #: A run has so many words at least, and so many periods.
 LEAST_LENGTH, LEAST_PERIODS = 6, 4
@@ -160,20 +160,21 @@ def summarize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 def collapse(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows, in texts with a run every run cut to its first period; other texts stay as they are."""
+    at = docs.columns.index(text_col)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(text_col).to_pylist()
+        texts = batch.column(at).to_pylist()
         out = []
         for text, (words, start, length, period) in zip(texts, runs_of(texts)):
             if words is not None:
                 stay = np.flatnonzero(kept_words(len(words), start, length, period)).tolist()
                 text = b" ".join([words[i] for i in stay]).decode("utf-8", "surrogatepass")
             out.append(text)
-        at = batch.schema.get_field_index(text_col)
         columns = [pa.array(out, type=batch.schema.field(at).type) if i == at else batch.column(i) for i in range(batch.num_columns)]
         return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return row_pass(docs, work, docs.schema)
+    plain = plainly_named(docs)
+    return row_pass(plain, work, plain.schema).toDF(*docs.columns)
 
 
 def with_period(docs: DataFrame, when: Column, start: Callable[[Column], Column], period: Callable[[Column, Column], Column], text_col: str = "text") -> DataFrame:
@@ -183,11 +184,11 @@ def with_period(docs: DataFrame, when: Column, start: Callable[[Column], Column]
     The words of a changed text are joined by one space; texts without a word stay as they are.
     """
     words, n = fresh_name(docs.columns, "list_of_words"), fresh_name(docs.columns, "n_of_words")
-    listed = docs.withColumn(words, F.when(when, F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0))))
+    listed = docs.withColumn(words, F.when(when, F.regexp_extract_all(column(text_col), F.lit(WORD), F.lit(0))))
     listed = listed.withColumn(n, F.when(F.size(words) > 0, F.size(words).cast("long")))
     a = start(F.col(n))
     p = period(F.col(n), a)
     # Whole copies of the unit, cut to what follows the start.
     copies = F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), p.cast("int")), F.ceil((F.col(n) - a) / p).cast("int")))
     changed = F.concat(F.slice(words, F.lit(1), a.cast("int")), F.slice(copies, F.lit(1), (F.col(n) - a).cast("int")))
-    return listed.withColumn(text_col, F.when(F.col(n).isNotNull(), F.array_join(changed, " ")).otherwise(F.col(text_col))).drop(words, n)
+    return listed.withColumn(text_col, F.when(F.col(n).isNotNull(), F.array_join(changed, " ")).otherwise(column(text_col))).drop(words, n)
