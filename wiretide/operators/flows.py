@@ -11,6 +11,7 @@ from wiretide.operators.layout import TIME_ORDER, Layout, LayoutOptions, plan_la
 from wiretide.operators.running import running_totals
 from wiretide.operators.select import TASK_ROWS, largest_rows
 from wiretide.operators.sessions import duration_change_us, scan_flows, with_flow_statistics
+from wiretide.operators.tracking import scan
 from wiretide.schemas import MICROS, ExtractionConfig
 
 FLOW_COLUMNS = (
@@ -23,7 +24,7 @@ FLOW_COLUMNS = (
 def _scanned(packets: DataFrame, config: ExtractionConfig, order, options: LayoutOptions):
     rows = with_flow_identity(packets)
     layout = plan_layout(rows, order, options)
-    return scan_flows(rows, config.timeout_us, layout), layout
+    return scan(rows, config, layout), layout
 
 
 def flow_records(scanned: DataFrame) -> DataFrame:

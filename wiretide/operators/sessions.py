@@ -37,13 +37,16 @@ def summarize_slices(rows: DataFrame, order: tuple[str, ...], timeout_us: int) -
     """One row per (flow, slice): its ends, its breaks, and its last session so far."""
     by_order = Window.partitionBy(*SLICE_KEYS).orderBy(*order)
     run = _running(SLICE_KEYS, order)
-    ts = F.col("ts_us")
+    ts, forced = F.col("ts_us"), "_forced" in rows.columns
+    breaks = _gap(ts, F.col("_previous"), timeout_us)
+    # The slice's own first packet breaks nothing within the slice.
+    breaks = (F.col("_previous").isNotNull() & (breaks | F.col("_forced"))) if forced else breaks
     local = (
-        rows.select(*SLICE_KEYS, *dict.fromkeys(("ts_us", *order)), "length", "src_ip")
+        rows.select(*SLICE_KEYS, *dict.fromkeys(("ts_us", *order)), "length", "src_ip", *["_forced"][: int(forced)])
         .withColumn("_previous", F.lag("ts_us").over(by_order))
         .withColumn("_n", F.row_number().over(by_order).cast("bigint"))
         .withColumn("_bytes", F.sum("length").over(run))
-        .withColumn("_break", F.coalesce(_gap(ts, F.col("_previous"), timeout_us), F.lit(False)))
+        .withColumn("_break", F.coalesce(breaks, F.lit(False)))
     )
     opening = F.struct(
         (F.col("_n") - 1).alias("n"), (F.col("_bytes") - F.col("length")).alias("bytes"), "ts_us", "src_ip"
@@ -56,12 +59,14 @@ def summarize_slices(rows: DataFrame, order: tuple[str, ...], timeout_us: int) -
         F.sum(F.col("_break").cast("bigint")).alias("breaks"),
         F.min_by(F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("bytes"), "ts_us", "src_ip"), "_n").alias("_opening"),
         F.max_by(opening, F.when(F.col("_break"), F.col("_n"))).alias("_reopening"),
+        (F.min_by("_forced", "_n") if forced else F.lit(False)).alias("first_forced"),
     )
     tail = F.coalesce(F.col("_reopening"), F.col("_opening"))
     return grouped.select(
         *SLICE_KEYS,
         "first_us",
         "last_us",
+        "first_forced",
         "breaks",
         (F.col("_rows") - tail["n"]).alias("tail_packets"),
         (F.col("_length") - tail["bytes"]).alias("tail_bytes"),
@@ -77,6 +82,7 @@ def state_as_slices(state: DataFrame) -> DataFrame:
         F.lit(BEFORE_ALL_SLICES).alias("flow_slice"),
         F.col("start_us").alias("first_us"),
         "last_us",
+        F.lit(False).alias("first_forced"),
         # The slice's own opening counts as one more.
         (F.col("sessions") - 1).alias("breaks"),
         F.col("packets").alias("tail_packets"),
@@ -104,7 +110,7 @@ def carry_into_slices(summaries: DataFrame, timeout_us: int) -> DataFrame:
     """What each (flow, slice) finds around it: the state after the slices before, and the next packet."""
     along = Window.partitionBy(*FLOW_KEYS).orderBy("flow_slice")
     run = _running(FLOW_KEYS, ["flow_slice"])
-    opened = F.coalesce(_gap(F.col("first_us"), F.col("_previous"), timeout_us), F.lit(True))
+    opened = F.coalesce(_gap(F.col("first_us"), F.col("_previous"), timeout_us) | F.col("first_forced"), F.lit(True))
     in_episode = _running((*FLOW_KEYS, "_episode"), ["flow_slice"])
     after = (
         summaries.withColumn("_previous", F.lag("last_us").over(along))
@@ -121,6 +127,7 @@ def carry_into_slices(summaries: DataFrame, timeout_us: int) -> DataFrame:
         *SLICE_KEYS,
         *[F.lag(name).over(along).alias(f"_carry_{name}") for name in CARRY_COLUMNS],
         F.lead("first_us").over(along).alias("_carry_next_us"),
+        F.lead("first_forced").over(along).alias("_carry_next_forced"),
     ).filter(F.col("_carry_last_us").isNotNull() | F.col("_carry_next_us").isNotNull())
 
 
@@ -134,6 +141,8 @@ def scan_flows(
     ``initiator_ip``, ``total_packets_in_flow``, ``total_bytes`` and ``is_last`` (true
     on a session's last packet).
 
+    Rows with a column ``_forced`` also break where it is true.
+
     ``state`` holds one row per flow seen earlier, with ``CARRY_COLUMNS``. Without hot flows
     it is one more row of its flow, before all packets, so that nothing is scanned twice.
     """
@@ -159,13 +168,19 @@ def scan_flows(
     if carried:
         previous = F.coalesce(previous, F.col("_carry_last_us"))
         following = F.coalesce(following, F.col("_carry_next_us"))
+    begins, ends = _gap(ts, F.col("previous_us"), timeout_us), _gap(F.col("_following"), ts, timeout_us)
+    if "_forced" in rows.columns:
+        next_forced = F.lead("_forced").over(by_order)
+        next_forced = F.coalesce(next_forced, F.col("_carry_next_forced")) if carried else next_forced
+        rows = rows.withColumn("_next_forced", next_forced)
+        begins, ends = begins | F.col("_forced"), ends | F.col("_next_forced")
     scanned = (
         rows.withColumn("previous_us", previous)
         .withColumn("_following", following)
         .withColumn("_n", F.sum("_weight").over(run) if seeded else F.row_number().over(by_order).cast("bigint"))
         .withColumn("_bytes", F.sum("length").over(run))
-        .withColumn("is_new", F.coalesce(_gap(ts, F.col("previous_us"), timeout_us), F.lit(True)).cast("bigint"))
-        .withColumn("is_last", F.coalesce(_gap(F.col("_following"), ts, timeout_us), F.lit(True)))
+        .withColumn("is_new", F.coalesce(begins, F.lit(True)).cast("bigint"))
+        .withColumn("is_last", F.coalesce(ends, F.lit(True)))
     )
     opening = F.struct(
         (F.col("_n") - 1).alias("n"),
@@ -200,7 +215,8 @@ def scan_flows(
     )
     if seeded:
         out = out.filter(F.col("_rank") == 1).drop("_rank", "_weight", "_start_us", "_sessions")
-    helpers = ["_following", "_n", "_bytes", "_base", "flow_slice"] + [f"_carry_{c}" for c in (*CARRY_COLUMNS, "next_us")]
+    helpers = ["_following", "_next_forced", "_n", "_bytes", "_base", "flow_slice"]
+    helpers += [f"_carry_{c}" for c in (*CARRY_COLUMNS, "next_us", "next_forced")]
     return out.drop(*helpers)
 
 

@@ -11,7 +11,8 @@ from wiretide.functions.packets import connection_state
 from wiretide.operators.flows import add_avg_flow_time
 from wiretide.operators.layout import TIME_ORDER, LayoutOptions, plan_layout
 from wiretide.operators.packets import split_valid, with_metadata
-from wiretide.operators.sessions import scan_flows, with_flow_statistics
+from wiretide.operators.sessions import with_flow_statistics
+from wiretide.operators.tracking import scan
 from wiretide.schemas import FEATURE_SCHEMA, MICROS, ExtractionConfig
 
 
@@ -45,7 +46,7 @@ def extract_features(
     usable, _ = split_valid(packets)
     rows = with_flow_identity(usable)
     layout = plan_layout(rows, order, options)
-    scanned = with_direction(scan_flows(rows, config.timeout_us, layout), config.home_networks)
+    scanned = with_direction(scan(rows, config, layout), config.home_networks)
     if avg_flow_time:
         scanned = add_avg_flow_time(scanned, layout)
     return feature_columns(scanned, keep)

@@ -134,6 +134,10 @@ class ExtractionConfig:
     # Default home networks and idle timeout.
     home_networks: tuple[str, ...] = ("10.0.0.0/8", "172.16.0.0/12", "192.168.0.0/16", "127.0.0.0/8")
     flow_timeout_seconds: float = 60.0
+    # Idle flows end at once by default, or only at sweeps so far apart.
+    cleanup_interval_seconds: float | None = None
+    # Flows tracked at a time; a new one then displaces the one seen longest ago. No limit by default.
+    max_tracked_flows: int | None = None
 
     @property
     def timeout_us(self) -> int:

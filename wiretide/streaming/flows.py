@@ -168,6 +168,8 @@ def stream_features(
     write under that number. Wrap it in ``isolated`` to go on after its errors. The
     trigger and the source's limit on files or offsets bound a micro-batch.
     """
+    if config.cleanup_interval_seconds is not None or config.max_tracked_flows is not None:
+        raise ValueError("sweeps and a cap on tracked flows are for tables; a stream ends idle flows at once")
     progress = Progress(FlowStore(packets.sparkSession, f"{folder}/state"), config, options)
 
     def take(batch: DataFrame, batch_id: int) -> None:

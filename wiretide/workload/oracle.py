@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from wiretide.schemas import FEATURE_SCHEMA, PREDICTION_SCHEMA
-from wiretide.workload.queries import AS_OF_US, CAPTURE_PACKETS, CAPTURE_SECONDS, FIXED_NOW, LARGE_CAPTURE, RECENT_FLOWS
+from wiretide.workload.queries import AS_OF_US, CAPTURE_PACKETS, CAPTURE_SECONDS, FIXED_NOW, LARGE_CAPTURE, RECENT_FLOWS, SWEEP_SECONDS, TRACKED_FLOWS
 from wiretide.workload.views import DUCKDB_VIEWS
 
 _TIMEOUT = 60_000_000
@@ -165,6 +165,17 @@ _FIELDS_OF_PACKET = _fields(
     "packet_id src_ip dst_ip src_port dst_port protocol length ts_us ttl tcp_flags payload_size".split()
 )
 
+def _sessions(ctes: str) -> str:
+    """Sessions of flows that break where the last of the added tables, `broken`, says so."""
+    body = f"""{ctes}
+        SELECT packet_id, flow_id, CAST(session AS BIGINT) AS session, first_value(ts_us) OVER w AS session_start_us,
+          first_value(src_ip) OVER w AS initiator_ip, CAST(breaks AS BIGINT) AS is_new, lead(packet_id) OVER w IS NULL AS is_last
+        FROM (SELECT *, sum(CAST(breaks AS BIGINT)) OVER (PARTITION BY flow_id ORDER BY ts_us, packet_id ROWS UNBOUNDED PRECEDING) AS session
+          FROM broken) b WINDOW w AS (PARTITION BY flow_id, session ORDER BY ts_us, packet_id)"""
+    steps = _sql(body).removesuffix(body).rstrip()
+    return f"{steps.replace('WITH', 'WITH RECURSIVE', 1)},\n{body}"
+
+
 ORACLE_SQL = {
     "packet_filter": _sql(
         """SELECT packet_id, src_ip, dst_ip,
@@ -345,6 +356,20 @@ ORACLE_SQL = {
           CASE {_BEST} WHEN p_benign THEN 'BENIGN' WHEN p_ddos THEN 'DDOS' WHEN p_phishing THEN 'PHISHING'
             ELSE 'PORT_SCAN' END AS attack_category FROM probabilities) p) q"""
     ),
+    "flow_sessions_swept": _sessions(
+        f"""sweeps(s) AS (SELECT min(ts_us) FROM good UNION ALL
+          SELECT (SELECT min(ts_us) FROM good WHERE ts_us >= s + {int(SWEEP_SECONDS * 1e6)}) FROM sweeps WHERE s IS NOT NULL),
+        broken AS (SELECT gaps.*, prev_us IS NULL OR s - prev_us > {_TIMEOUT} AS breaks FROM gaps ASOF JOIN (SELECT s FROM sweeps WHERE s IS NOT NULL) w
+          ON gaps.ts_us >= w.s)"""
+    ),
+    "flow_sessions_capped": _sessions(
+        f"""placed AS (SELECT *, row_number() OVER (ORDER BY ts_us, packet_id) AS place FROM gaps),
+        known AS (SELECT *, lag(place) OVER (PARTITION BY flow_id ORDER BY place) AS earlier FROM placed),
+        others AS (SELECT b.packet_id, count(DISTINCT o.flow_id) AS others FROM known b JOIN placed o ON o.place > b.earlier AND o.place < b.place
+          WHERE b.place - b.earlier > {TRACKED_FLOWS} AND b.ts_us - b.prev_us <= {_TIMEOUT} GROUP BY b.packet_id),
+        broken AS (SELECT known.*, earlier IS NULL OR ts_us - prev_us > {_TIMEOUT} OR coalesce(others, 0) >= {TRACKED_FLOWS} AS breaks
+          FROM known LEFT JOIN others USING (packet_id))"""
+    ),
     "packet_record_json": _sql(f"SELECT *, {_FIELDS_OF_PACKET} AS fields FROM packets"),
     "feature_json": _sql(f"SELECT *, {_fields(FEATURE_SCHEMA.fieldNames())} AS fields FROM features"),
     "prediction_json": _sql(

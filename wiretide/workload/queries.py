@@ -20,6 +20,7 @@ from wiretide.operators import packets as po
 from wiretide.operators.layout import LayoutOptions, plan_layout
 from wiretide.operators.sessions import scan_flows
 from wiretide.operators.split import with_split
+from wiretide.operators.tracking import scan
 from wiretide.plans.extract import extract_features
 from wiretide.plans.score import assess, score
 from wiretide.plans.train import create_model, evaluate as evaluate_model, split_and_train
@@ -39,6 +40,7 @@ LARGE_CAPTURE = 4_000
 STREAM_BATCHES, STREAM_FILES = 4, 8
 CAPTURE_SECONDS = 900.0
 RECENT_FLOWS = 100
+SWEEP_SECONDS, TRACKED_FLOWS = 5.0, 20
 FIXED_NOW = float(views.EPOCH_US // MICROS)
 
 # So fine that even small tables take the way of large ones: slices, hot flows, crowded instants.
@@ -149,6 +151,22 @@ def flow_sessions(spark, sf):
     return scanned.select("packet_id", "flow_id", "session", "session_start_us", "initiator_ip", "is_new")
 
 
+def _sessions_under(spark, sf, **settings) -> DataFrame:
+    rows = with_flow_identity(_usable(spark, sf))
+    scanned = scan(rows, ExtractionConfig(**settings), plan_layout(rows, options=CUT))
+    return scanned.select("packet_id", "flow_id", "session", "session_start_us", "initiator_ip", "is_new", "is_last")
+
+
+def flow_sessions_swept(spark, sf):
+    """Flow sessions where idle flows end only at sweeps, five seconds apart at least."""
+    return _sessions_under(spark, sf, cleanup_interval_seconds=SWEEP_SECONDS)
+
+
+def flow_sessions_capped(spark, sf):
+    """Flow sessions where a new flow displaces the one seen longest ago once so many are tracked."""
+    return _sessions_under(spark, sf, max_tracked_flows=TRACKED_FLOWS)
+
+
 def packet_features(spark, sf):
     return extract_features(views.packets(spark, sf), avg_flow_time=False).drop("extra", "window_size")
 
@@ -658,7 +676,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feature_select, feature_encode, partial_dataset, scorable_split, class_weights, label_classes, dataset_profile,
         stratified_split, confusion, eval_metrics, classification_report, union_rows, packet_text, feature_text,
         packet_json, predictions, feature_csv, labelled_csv, train_and_score, train_and_evaluate, saved_model,
-        recent_flows_half, severity_by_table, risk_by_table, feature_vector, packets_table, stratified_split_many,
+        flow_sessions_swept, flow_sessions_capped, recent_flows_half, severity_by_table, risk_by_table, feature_vector, packets_table, stratified_split_many,
         packet_record_json, feature_json, prediction_json, labelled_csv_split, labelled_csv_rejects, delivery_stream, evaluation_checks, score_stream_checks, prediction_checks, packet_limit_large, features_stream, closed_flows_stream, summary_stream, score_stream,
     )
 }
