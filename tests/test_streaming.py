@@ -14,6 +14,7 @@ from wiretide.plans.train import create_model
 from wiretide.sources import tables
 from wiretide.streaming.delivery import dead_letters, deliver, delivered, each_record, isolated, write_under_batch
 from wiretide.streaming.flows import Progress, Totals, advance, stream_features
+from wiretide.streaming.late import late_counts, late_packets, part_late
 from wiretide.streaming.store import FlowStore
 from wiretide.streaming.summary import end_mark, flow_summary_stream
 
@@ -154,6 +155,24 @@ def test_summary_stream_equals_the_batch_summary(spark, table, tmp_path):
     assert closed_sessions(spark.read.parquet(f"{folder}/d")) == closed_sessions(flows.flow_summary(table))
 
 
+def test_late_packets_are_set_aside_and_the_rest_is_never_dropped(spark, table, tmp_path):
+    source, folder = str(tmp_path / "in"), str(tmp_path / "out")
+    held = F.col("packet_id") % 20 == 0
+    start = lambda: part_late(tables.stream_packets(spark, source, schema=table.schema, maxFilesPerTrigger=1), folder, 10.0, trigger={"availableNow": True})
+    for part in batches(table.filter(~held), 2):
+        part.coalesce(1).write.mode("append").parquet(source)
+    start().awaitTermination()
+    table.filter(held).coalesce(1).write.mode("append").parquet(source)
+    start().awaitTermination()
+    latest = table.filter(~held).agg(F.max("ts_us")).first()[0]
+    is_late = held & (F.col("ts_us") + 60_000_000 <= latest - 10_000_000)
+    late = late_packets(spark, folder, table.schema)
+    assert rows(late.drop("batch")) == rows(table.filter(is_late)) and {r.batch for r in late.collect()} == {2}
+    counts = late_counts(spark, folder).collect()
+    assert [r.late for r in counts] == [0, 0, late.count()] and sum(r.in_time + r.late for r in counts) == table.count()
+    assert max(r.latest_us for r in counts) == table.agg(F.max("ts_us")).first()[0]
+
+
 def test_scoring_a_stream(spark, table, tmp_path):
     features = extract_features(table).withColumn("label", F.when(F.col("packet_length") > 700, "DDOS").otherwise("BENIGN")).cache()
     model = create_model("random_forest", n_estimators=3, max_depth=3).fit(features, row_id="packet_id")

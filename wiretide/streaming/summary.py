@@ -28,7 +28,8 @@ def flow_summary_stream(
 ) -> DataFrame:
     """Flow sessions of a packet stream, each given out once, when the watermark has passed its end.
 
-    Packets later than the delay are dropped, as in any watermarked aggregation. Sessions
+    Packets later than the delay are dropped, as in any watermarked aggregation;
+    ``late.part_late`` sets them aside first. Sessions
     still open when a stream ends are given out after the packet of ``end_mark``. Packets
     of a session are merged where they are read, so a busy flow is no load on one task;
     this is a setting of the session.

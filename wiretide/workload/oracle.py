@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from wiretide.schemas import FEATURE_SCHEMA, PREDICTION_SCHEMA
-from wiretide.workload.queries import AS_OF_US, CAPTURE_PACKETS, CAPTURE_SECONDS, FIXED_NOW, LARGE_CAPTURE, RECENT_FLOWS, SWEEP_SECONDS, TRACKED_FLOWS
+from wiretide.workload.queries import AS_OF_US, CAPTURE_PACKETS, CAPTURE_SECONDS, FIXED_NOW, LARGE_CAPTURE, LATE_DELAY, LATE_EVERY, RECENT_FLOWS, SWEEP_SECONDS, TRACKED_FLOWS
 from wiretide.workload.views import DUCKDB_VIEWS
 
 _TIMEOUT = 60_000_000
@@ -370,6 +370,13 @@ ORACLE_SQL = {
         broken AS (SELECT known.*, earlier IS NULL OR ts_us - prev_us > {_TIMEOUT} OR coalesce(others, 0) >= {TRACKED_FLOWS} AS breaks
           FROM known LEFT JOIN others USING (packet_id))"""
     ),
+    "late_packets_stream": _sql(
+        f"""SELECT packet_id, 'late' AS fate, CAST(1 AS BIGINT) AS packets FROM good WHERE packet_id % {LATE_EVERY} = 0 AND ts_us + {_TIMEOUT} <=
+          (SELECT max(ts_us) FROM good WHERE packet_id % {LATE_EVERY} <> 0) - {int(LATE_DELAY * 1e6)}
+        UNION ALL SELECT NULL, CASE WHEN is_late THEN 'late, counted' ELSE 'in flow sessions' END, count(*) FROM (
+          SELECT packet_id % {LATE_EVERY} = 0 AND ts_us + {_TIMEOUT} <=
+            (SELECT max(ts_us) FROM good WHERE packet_id % {LATE_EVERY} <> 0) - {int(LATE_DELAY * 1e6)} AS is_late FROM good) g GROUP BY is_late"""
+    ),
     "packet_record_json": _sql(f"SELECT *, {_FIELDS_OF_PACKET} AS fields FROM packets"),
     "feature_json": _sql(f"SELECT *, {_fields(FEATURE_SCHEMA.fieldNames())} AS fields FROM features"),
     "prediction_json": _sql(

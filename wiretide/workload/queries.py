@@ -28,6 +28,7 @@ from wiretide.schemas import ATTACK_CATEGORIES, FEATURE_ORDER, MICROS, PACKET_SC
 from wiretide.sources import storage, tables
 from wiretide.streaming.delivery import dead_letters, deliver, delivered, each_record, write_under_batch
 from wiretide.streaming.flows import stream_features
+from wiretide.streaming.late import in_time_stream, late_counts, late_packets, part_late
 from wiretide.streaming.store import FlowStore
 from wiretide.streaming.summary import end_mark, flow_summary_stream
 from wiretide.workload import views
@@ -41,6 +42,8 @@ STREAM_BATCHES, STREAM_FILES = 4, 8
 CAPTURE_SECONDS = 900.0
 RECENT_FLOWS = 100
 SWEEP_SECONDS, TRACKED_FLOWS = 5.0, 20
+# Every so many-th packet comes at the end of the stream; seconds a packet may be late.
+LATE_EVERY, LATE_DELAY = 50, 10.0
 FIXED_NOW = float(views.EPOCH_US // MICROS)
 
 # So fine that even small tables take the way of large ones: slices, hot flows, crowded instants.
@@ -632,6 +635,32 @@ def summary_stream(spark, sf):
     return spark.read.parquet(f"{folder}/flows")
 
 
+def late_packets_stream(spark, sf):
+    """A stream whose last file holds late packets: what is set aside, and what the flow sessions of the rest hold."""
+    folder, packets = storage.work_folder(spark, "late-packets-stream"), views.packets(spark, sf)
+    delayed = F.col("packet_id") % LATE_EVERY == 0
+    edge = packets.approxQuantile("ts_us", [0.5], 0.01)[0]
+    ending = packets.limit(0).unionByName(end_mark(packets, LATE_DELAY), allowMissingColumns=True)
+    for part in (packets.filter(~delayed & (F.col("ts_us") < edge)), packets.filter(~delayed & (F.col("ts_us") >= edge)), packets.filter(delayed), ending):
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/packets")
+    source = tables.stream_packets(spark, f"{folder}/packets", schema=packets.schema, maxFilesPerTrigger=1)
+    part_late(source, folder, LATE_DELAY, trigger={"availableNow": True}).awaitTermination()
+    in_time = in_time_stream(spark, folder, packets.schema)
+    query = (
+        flow_summary_stream(in_time, f"{LATE_DELAY} seconds")
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{folder}/flows")
+    )
+    query.awaitTermination()
+    late = late_packets(spark, folder, packets.schema).select("packet_id", F.lit("late").alias("fate"), F.lit(1).cast("bigint").alias("packets"))
+    counted = late_counts(spark, folder).agg(F.sum("late").alias("packets")).select(F.lit(None).cast("bigint").alias("packet_id"), F.lit("late, counted").alias("fate"), "packets")
+    kept = spark.read.parquet(f"{folder}/flows").agg(F.sum("total_packets").alias("packets"))
+    kept = kept.select(F.lit(None).cast("bigint").alias("packet_id"), F.lit("in flow sessions").alias("fate"), "packets")
+    return late.unionAll(counted).unionAll(kept)
+
+
 def score_stream(spark, sf):
     """Predictions on a stream of feature rows, by a model trained on the same table."""
     return _scored_stream(spark, sf, *_trained(spark, sf))
@@ -676,7 +705,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feature_select, feature_encode, partial_dataset, scorable_split, class_weights, label_classes, dataset_profile,
         stratified_split, confusion, eval_metrics, classification_report, union_rows, packet_text, feature_text,
         packet_json, predictions, feature_csv, labelled_csv, train_and_score, train_and_evaluate, saved_model,
-        flow_sessions_swept, flow_sessions_capped, recent_flows_half, severity_by_table, risk_by_table, feature_vector, packets_table, stratified_split_many,
+        flow_sessions_swept, flow_sessions_capped, late_packets_stream, recent_flows_half, severity_by_table, risk_by_table, feature_vector, packets_table, stratified_split_many,
         packet_record_json, feature_json, prediction_json, labelled_csv_split, labelled_csv_rejects, delivery_stream, evaluation_checks, score_stream_checks, prediction_checks, packet_limit_large, features_stream, closed_flows_stream, summary_stream, score_stream,
     )
 }
