@@ -1,8 +1,10 @@
 """Repetition rules by suffix arrays over words.
 
 The suffix array of many texts is sorted at once, each text ending in a mark of its own,
-by prefix doubling over the suffixes that still tie. Intervals of equal longest common
-prefixes give the maximal repeats; their spans are joined.
+by prefix doubling over the suffixes that still tie. An interval of suffixes with a longest
+common prefix is a repeat that no word to the right extends; it is a maximal one if the
+words to the left differ too. The spans of maximal repeats are joined. The base counts need
+no intervals, only whether a neighbour in the array shares a window.
 """
 
 from __future__ import annotations
@@ -111,6 +113,64 @@ def _agree(prefix: np.ndarray, powers: np.ndarray, a: np.ndarray, b: np.ndarray,
     return (prefix[low + n] - prefix[low]) * powers[high - low] == prefix[high + n] - prefix[high]
 
 
+@dataclass
+class Intervals:
+    """Longest-common-prefix intervals: words in common, first and last place in the suffix array, the interval around; and each place's innermost one."""
+
+    height: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    outer: np.ndarray
+    inner_of: np.ndarray
+
+
+def lcp_intervals(lcp: np.ndarray, least: int) -> Intervals:
+    """All intervals of at least `least` common words, by a stack along each stretch of the array that has them."""
+    high = np.concatenate([[False], lcp >= least, [False]])
+    edges = np.flatnonzero(high[1:] != high[:-1])
+    height, first, last, outer = [], [], [], []
+    inner_of = np.full(len(lcp), -1, dtype=np.int64)
+    for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        stack, inner = [], []
+        for i, common in enumerate([*lcp[a:b].tolist(), 0], start=a):
+            # The place before belongs to what is open at its own height, or to what opens now.
+            inner.append(stack[-1] if stack and height[stack[-1]] >= common else len(height))
+            begin, closed = i - 1, None
+            while stack and height[stack[-1]] > common:
+                closed = stack.pop()
+                last[closed], begin = i - 1, first[closed]
+                outer[closed] = stack[-1] if stack else -1
+            if common >= least and (not stack or height[stack[-1]] < common):
+                if closed is not None:
+                    outer[closed] = len(height)
+                stack.append(len(height))
+                height.append(common)
+                first.append(begin)
+                last.append(-1)
+                outer.append(-1)
+        inner_of[a - 1 : b] = inner
+    return Intervals(*(np.array(x, dtype=np.int64) for x in (height, first, last, outer)), inner_of)
+
+
+def maximal_repeats(sequence: np.ndarray, order: np.ndarray, lcp: np.ndarray, least: int) -> np.ndarray:
+    """Per place of the sequence, the words of the longest maximal repeat that starts there; 0 without one of `least` words."""
+    found = lcp_intervals(lcp, least)
+    out = np.zeros(len(order), dtype=np.int64)
+    if not len(found.height):
+        return out
+    # Words to the left; a text's first word has a mark there, the very first one nothing.
+    before = np.where(order > 0, sequence[np.maximum(order - 1, 0)], -1)
+    changes = np.cumsum(np.concatenate([[False], before[1:] != before[:-1]]))
+    differ = changes[found.last] > changes[found.first]
+    longest = np.zeros(len(found.height) + 1, dtype=np.int64)
+    for t in np.argsort(found.height, kind="stable").tolist():
+        # A repeat that the same word always precedes is part of a longer one; what is around it may be maximal.
+        longest[t] = found.height[t] if differ[t] else longest[found.outer[t]]
+    inside = found.inner_of >= 0
+    out[order[inside]] = longest[found.inner_of[inside]]
+    return out
+
+
 @dataclass
 class Repeats:
     """Per text: words in repeated windows, words covered by maximal repeats, words of the longest one."""
@@ -133,12 +193,12 @@ def find_repeats(hashes: np.ndarray, starts: np.ndarray, window: int = WINDOW, l
     # With the text's number in every word, suffixes of different texts never share a prefix.
     order, _ = suffix_array(sequence)
     lcp = common_prefixes(sequence, order, window)
-    # The longest repeat that starts at a suffix: the larger of its two neighbouring prefixes.
-    best = np.zeros(n + texts, dtype=np.int64)
-    best[order] = np.maximum(lcp, np.concatenate([lcp[1:], [0]]) if len(lcp) else lcp)
+    # Whether a window repeats: a suffix shares it with one of its two neighbours.
+    shared = np.zeros(n + texts, dtype=np.int64)
+    shared[order] = np.maximum(lcp, np.concatenate([lcp[1:], [0]]) if len(lcp) else lcp)
     place = np.arange(n) + owner
-    at = best[place]
-    long = np.where(at >= least, at, 0)
+    at = shared[place]
+    long = maximal_repeats(sequence, order, lcp, least)[place]
     longest = np.zeros(texts, dtype=np.int64)
     np.maximum.at(longest, owner, long)
     covered = _cover(np.where(at >= window, window, 0))
