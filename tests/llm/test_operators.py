@@ -277,6 +277,18 @@ def test_toxicity(spark, odd, none):
     assert toxicity.fit(odd, labels.limit(0)).scores([None, "x"]).max() < 1e-9
 
 
+def test_a_few_positives_are_enough_to_learn_from(spark):
+    rng, common = np.random.default_rng(3), [f"w{i}" for i in range(400)]
+    text = lambda *more: " ".join([*rng.choice(common, 60), *more])
+    for positives in (1, 3, 12):
+        table = [(i, text(*["vilesnarl", "gutterfoul"][: 1 + i % 2] * 3) if i < positives else text()) for i in range(400)]
+        docs = spark.createDataFrame(table, "doc_id long, text string")
+        labels = spark.createDataFrame([(i, int(i < positives)) for i in range(100)], "doc_id long, toxic int")
+        model = toxicity.fit(docs, labels)
+        new = model.scores([text("vilesnarl", "vilesnarl", "vilesnarl"), *(text() for _ in range(50)), "", None])
+        assert new[0] > 3 * new[1:].max() and new[0] > 0.01, positives
+
+
 def test_the_risk_estimator_separates_what_is_separable():
     rng = np.random.default_rng(1)
     positive, unlabelled = rng.random((200, 4)) + [1, 0, 0, 0], rng.random((800, 4))
@@ -306,6 +318,37 @@ def plain_repetition(text, window=3, least=8):
     return (len(w), sum(len(x.decode()) for x in w), sum(map((text or "").count, "#*$%&|<>")), len(lines) - len(set(lines)), len(windows), len(covered), longest)
 
 
+def test_intervals_of_common_prefixes():
+    rng = np.random.default_rng(12)
+    for n, k in ((1, 1), (12, 1), (60, 2), (200, 3), (300, 20)):
+        ids = np.append(rng.integers(0, k, n), k)
+        order, _ = repetition.suffix_array(ids)
+        lcp = repetition.common_prefixes(ids, order)
+        found = repetition.lcp_intervals(lcp, 2)
+        want = set()
+        for i in range(len(lcp)):
+            for j in range(i, len(lcp)):
+                h = lcp[i + 1 : j + 1].min() if j > i else 0
+                if h >= 2 and (i == 0 or lcp[i] < h) and (j + 1 == len(lcp) or lcp[j + 1] < h):
+                    want.add((int(h), i, j))
+        intervals = list(zip(found.height.tolist(), found.first.tolist(), found.last.tolist()))
+        assert set(intervals) == want and len(intervals) == len(want)
+        for t, (h, a, b) in enumerate(intervals):
+            around = [x for x in intervals if x[0] < h and x[1] <= a and b <= x[2]]
+            assert (intervals[found.outer[t]] if found.outer[t] >= 0 else None) == max(around, default=None)
+        for i in range(len(lcp)):
+            inner = [x for x in intervals if x[1] <= i <= x[2]]
+            assert (intervals[found.inner_of[i]] if found.inner_of[i] >= 0 else None) == max(inner, default=None)
+        # Maximal repeats: no word more on either side.
+        w, starts = ids[:-1].tolist(), repetition.maximal_repeats(ids, order, lcp, 2)
+        for i in range(n):
+            lengths = [m for m in range(2, n - i + 1) for same in [[j for j in range(n - m + 1) if w[j : j + m] == w[i : i + m]]]
+                       if len(same) > 1 and len({w[j - 1] if j else -1 for j in same}) > 1 and len({w[j + m] if j + m < n else -1 for j in same}) > 1]
+            assert starts[i] == max(lengths, default=0)
+            if n > 60:
+                break
+
+
 def test_repetition(documents, odd, none):
     rng = np.random.default_rng(3)
     texts = [t for _, t, _, _ in ODD if t != LONG] + documents.text[:80].tolist()

@@ -26,8 +26,9 @@ from wiretide.sources.storage import materialize
 PREFIXES = (4, 5, 6, 7, 8)
 #: The model is fitted on at most so many confirmed and unlabelled texts, the first by hash of the id.
 POSITIVES, UNLABELLED = 2_000, 6_000
-#: Features: in at least LEAST_TEXTS positives, the FEATURES that set them apart most.
-LEAST_TEXTS, CANDIDATES, FEATURES = 4, 30_000, 1_500
+#: Features: the FEATURES that set the positives apart most, by a z statistic above LEAST_APART. They are in
+#: at least a tenth of the positives or in LEAST_TEXTS of them, whichever is fewer.
+LEAST_TEXTS, FEATURES, LEAST_APART = 4, 1_500, 4.0
 STEPS, RATE, DECAY = 400, 0.05, 1e-4
 BLOCK = 1 << 20
 ENTRY = np.dtype([("place", "<u2"), ("amount", "<f4")])
@@ -104,8 +105,9 @@ def fit_risk(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """Learns from `labels` (ids confirmed toxic or not) and `docs`, of which only texts are seen.
 
-    The class prior is the share of toxic rows among all labelled ones. Without a
-    positive, every text scores 0.
+    The class prior is the share of toxic rows among all labelled ones. With few positives,
+    one even, words of a single one are features; texts that share none of them then get the
+    prior's score or less. Without a positive, or without a text of one, every text scores 0.
     """
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).filter("doc_id is not null and y is not null")
     total, toxic = known.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("y") == 1).cast("long")), F.lit(0))).first()
@@ -122,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     positive = table.join(F.broadcast(chosen), "doc_id").select("text", F.lit(1).alias("positive"))
     sample = materialize(positive.unionAll(unlabelled), "toxicity-sample")
 
-    def of_positives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for begin, end in blocks_of(texts, BLOCK):
@@ -133,8 +135,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 values, counts = np.unique(hashes[once], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], names=["hash", "n"])
 
-    frequent = sample.filter("positive = 1").select("text").mapInArrow(of_positives, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
-    candidates = frequent.filter(F.col("n") >= LEAST_TEXTS).orderBy(F.desc("n"), "hash").limit(CANDIDATES).select("hash").toPandas()["hash"]
+    sizes = {r["positive"]: r["n"] for r in sample.groupBy("positive").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_positive, n_unlabelled = sizes.get(1, 0), sizes.get(0, 0)
+    if not n_positive:
+        return nothing
+    of = lambda y: sample.filter(F.col("positive") == y).select("text").mapInArrow(counts, "hash long, n long").groupBy("hash").agg(F.sum("n").alias(f"n{y}"))
+    usual = of(1).filter(F.col("n1") >= min(LEAST_TEXTS, -(-n_positive // 10)))
+    # A two-sample z statistic; only features commoner among the positives.
+    rates = usual.join(of(0), "hash", "left").select("hash", ((F.col("n1") + 0.5) / (n_positive + 1)).alias("r1"), ((F.coalesce("n0", F.lit(0)) + 0.5) / (n_unlabelled + 1)).alias("r0"))
+    pooled = (F.col("r1") * n_positive + F.col("r0") * n_unlabelled) / (n_positive + n_unlabelled)
+    spread = F.sqrt(pooled * (1 - F.least(pooled, F.lit(0.999))) * (1 / n_positive + 1 / max(n_unlabelled, 1)))
+    apart = rates.select("hash", ((F.col("r1") - F.col("r0")) / spread).alias("apart")).filter(F.col("apart") > LEAST_APART)
+    candidates = apart.orderBy(F.desc("apart"), "hash").limit(FEATURES).select("hash").toPandas()["hash"]
     vocabulary = np.sort(candidates.to_numpy(dtype=np.int64).view(U64))
     if not len(vocabulary):
         return nothing
@@ -149,29 +161,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return pa.RecordBatch.from_arrays([batch.column(1), pa.array([x.tobytes() for x in found], type=pa.binary())], names=["positive", "places"])
 
     rows = row_pass(sample, places, "positive int, places binary").collect()
-    sides = [[np.frombuffer(r["places"], dtype=ENTRY) for r in rows if r["positive"] == y] for y in (1, 0)]
-    rates = []
-    for side in sides:
-        seen = np.zeros(len(vocabulary))
-        for entries in side:
-            seen[entries["place"]] += 1
-        rates.append((seen + 0.5) / (len(side) + 1))
-    # A two-sample z statistic; only features commoner among the positives.
-    pooled = (rates[0] * len(sides[0]) + rates[1] * len(sides[1])) / max(len(sides[0]) + len(sides[1]), 1)
-    apart = (rates[0] - rates[1]) / np.sqrt(pooled * (1 - np.minimum(pooled, 0.999)) * (1 / max(len(sides[0]), 1) + 1 / max(len(sides[1]), 1)))
-    best = np.sort(np.argsort(-apart, kind="stable")[:FEATURES])
-    best = best[apart[best] > 4.0]
-    column = np.full(len(vocabulary), -1)
-    column[best] = np.arange(len(best))
     matrices = []
-    for side in sides:
-        matrix = np.zeros((len(side), len(best)), dtype=np.float32)
+    for y in (1, 0):
+        side = [np.frombuffer(r["places"], dtype=ENTRY) for r in rows if r["positive"] == y]
+        matrix = np.zeros((len(side), len(vocabulary)), dtype=np.float32)
         for i, entries in enumerate(side):
-            used = column[entries["place"]]
-            matrix[i, used[used >= 0]] = entries["amount"][used >= 0]
+            matrix[i, entries["place"]] = entries["amount"]
         matrices.append(matrix)
     weights, bias = fit_risk(*matrices, prior)
-    return ToxicityModel(vocabulary[best], weights, bias)
+    return ToxicityModel(vocabulary, weights, bias)
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
