@@ -466,7 +466,53 @@ def test_interpolation(spark, documents):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def test_interpolated_probabilities_follow_from_the_counts(spark):
+def plain_interpolation(texts, train):
+    """log10 probability per document: exact counts, weights by expectation-maximisation on deleted counts."""
+    word, pair = Counter(), Counter()
+    sequences = {i: [*(t or "").encode().lower().split(), None] for i, t in texts.items()}
+    for i in train:
+        word.update(sequences[i])
+        pair.update(zip(["begin", *sequences[i]], sequences[i]))
+    context = word + Counter({"begin": len(train)})
+    n, v = sum(word.values()), len(word)
+    ratio = lambda a, b: a / b if b > 0 else 0.0
+    level = lambda seen: min(1 + int(math.log2(seen)), interpolation.CLASSES - 1) if seen > 0 else 0
+    held = defaultdict(Counter)
+    for i in train:
+        for a, b in zip(["begin", *sequences[i]], sequences[i]):
+            held[level(context[a] - 1)][ratio(pair[a, b] - 1, context[a] - 1), ratio(word[b] - 1, n - 1)] += 1
+    weights, last = {}, np.array([0.0, 0.5, 0.5])
+    for c in range(interpolation.CLASSES):
+        if held[c]:
+            ml = np.array([[x, y, 1 / (v + 1)] for x, y in held[c]])
+            times = np.array(list(held[c].values()), dtype=float)
+            last = np.full(3, 1 / 3)
+            for _ in range(interpolation.ROUNDS):
+                share = ml * last
+                last = np.maximum((times[:, None] * share / share.sum(axis=1, keepdims=True)).sum(axis=0) / times.sum(), [0, 0, 1e-6])
+                last = last / last.sum()
+        weights[c] = last
+    out = {}
+    for i, sequence in sequences.items():
+        out[i] = 0.0
+        for a, b in zip(["begin", *sequence], sequence):
+            w = weights[level(context[a])]
+            out[i] += math.log10(w[0] * ratio(pair[a, b], context[a]) + w[1] * ratio(word[b], n) + w[2] / (v + 1))
+    return out
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_scores_equal_a_plain_model(spark, documents, partitions):
+    texts = documents.text.to_dict() | {10**6: None, 10**6 + 1: "never seen words", 10**6 + 2: "the the THE"}
+    train = [i for i in texts if zlib.crc32(str(i).encode()) % 7 != 2]
+    want = plain_interpolation(texts, train)
+    table = spark.createDataFrame([*texts.items()], "doc_id long, text string").repartition(partitions)
+    got = {r["doc_id"]: r["score"] for r in rows(interpolation.score_documents(table, fold(F.col("doc_id"), 7) != 2))}
+    # Held-out probabilities are counted to a quarter of a power of two, which moves the weights a little.
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], rel=2e-3) for i in want)
+
+
+def test_interpolated_probabilities_are_never_zero(spark):
     table = spark.createDataFrame([(0, "a b a b a c"), (1, "a b"), (2, "b z"), (3, None)], "doc_id long, text string")
     got = {r["doc_id"]: r for r in rows(interpolation.score_documents(table, F.col("doc_id") < 2))}
     # Unseen after "b", and not at all: only the uniform part is left, which never is 0.

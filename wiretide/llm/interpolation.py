@@ -4,7 +4,8 @@
 
 with weights by how often the context v was seen (classes by powers of two), learned by
 expectation-maximisation on held-out counts: every training token is scored by counts
-from which it is deleted.
+from which it is deleted. For that its two probabilities are rounded to quarter powers of
+two, which changes the weights, and a text's score by some hundredths of a per cent.
 
 Texts become chunks of token numbers, each with its own vocabulary. A chunk asks for the
 corpus counts of its distinct words and word pairs, in slices by hash; the owner of a
