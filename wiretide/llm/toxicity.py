@@ -85,6 +85,8 @@ class ToxicityModel:
 
 def fit_risk(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Weights and bias by the non-negative risk estimator, with Adam over all rows."""
+    # Once in double precision, not again in every product.
+    positive, unlabelled = np.asarray(positive, dtype=np.float64), np.asarray(unlabelled, dtype=np.float64)
     n = positive.shape[1] + 1
     theta, mean, square = np.zeros(n), np.zeros(n), np.zeros(n)
     theta[-1] = np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))
