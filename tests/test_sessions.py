@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wiretide import ExtractionConfig
 from wiretide.functions.flowkey import with_flow_identity
 from wiretide.operators import flows
-from wiretide.operators.layout import ARRIVAL_ORDER, TIME_ORDER, LayoutOptions, plan_layout
+from wiretide.operators.layout import ARRIVAL_ORDER, TIME_ORDER, LayoutOptions, place, plan_layout
 from wiretide.operators.packets import capture_limit, split_valid
 from wiretide.operators.running import running_totals
 from wiretide.operators.sessions import scan_flows, with_flow_statistics
@@ -156,6 +156,8 @@ def busy_table(spark, n=4000):
 
 
 CUT = LayoutOptions(rows_per_slice=200)
+# More slices than are cut at once: slices within slices.
+NESTED = LayoutOptions(rows_per_slice=100, max_slices=4)
 
 
 def test_layout_cuts_hot_flows_and_crowded_instants(spark):
@@ -173,12 +175,23 @@ def test_layout_cuts_hot_flows_and_crowded_instants(spark):
     assert plan_layout(rows).n_slices == 1
 
 
+def test_slices_within_slices(spark):
+    rows = with_flow_identity(busy_table(spark))
+    layout = plan_layout(rows, options=NESTED)
+    assert layout.inner is not None and layout.n_slices <= 2 * 4 and layout.hot_table.count() == 1
+    slices = layout.with_slice(rows).groupBy("_slice").agg(F.count(F.lit(1)).alias("n"), F.min(place(TIME_ORDER)).alias("a"), F.max(place(TIME_ORDER)).alias("b")).orderBy("_slice").collect()
+    assert len(slices) >= rows.count() / 200 and max(x.n for x in slices) < 3 * 100
+    assert all(x.b < y.a for x, y in zip(slices, slices[1:]))
+    assert layout.with_flow_slice(rows).groupBy("flow_id", "flow_slice").count().agg(F.max("count")).first()[0] < 3 * 100
+
+
+@pytest.mark.parametrize("fine", [CUT, NESTED], ids=["cut", "nested"])
 @pytest.mark.parametrize("order", [TIME_ORDER, ARRIVAL_ORDER])
-def test_cut_results_are_the_same_rows(spark, order):
+def test_cut_results_are_the_same_rows(spark, order, fine):
     table = busy_table(spark)
 
     def same(make):
-        whole, cut = make(LayoutOptions()), make(CUT)
+        whole, cut = make(LayoutOptions()), make(fine)
         assert sorted(map(tuple, whole.collect()), key=repr) == sorted(map(tuple, cut.collect()), key=repr)
 
     same(lambda o: extract_features(table, order=order, options=o).drop("extra"))
@@ -189,10 +202,11 @@ def test_cut_results_are_the_same_rows(spark, order):
         same(lambda o: flows.active_flows(table, now, options=o))
 
 
-def test_running_totals(spark):
+@pytest.mark.parametrize("options", [CUT, NESTED], ids=["cut", "nested"])
+def test_running_totals(spark, options):
     table = busy_table(spark, 1500)
-    layout = plan_layout(table, options=CUT)
-    assert layout.n_slices > 5
+    layout = plan_layout(table, options=options)
+    assert layout.n_slices * layout.parts > 5
     got = running_totals(table, {"so_far": F.col("length")}, layout, {"so_far": 11})
     total = 11
     for r in sorted(got.collect(), key=lambda r: (r.ts_us, r.packet_id)):
@@ -204,7 +218,7 @@ def test_capture_limits(spark):
     table = busy_table(spark, 1500)
     for n in (1, 321, 1499, 2000):
         expected = [r.packet_id for r in table.orderBy("ts_us", "packet_id").limit(n).collect()]
-        for options in (LayoutOptions(), CUT):
+        for options in (LayoutOptions(), CUT, NESTED):
             assert sorted(r.packet_id for r in capture_limit(table, n, options=options).collect()) == sorted(expected)
     assert capture_limit(table).count() == 1500
     first = table.agg(F.min("ts_us")).first()[0]

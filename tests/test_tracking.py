@@ -11,6 +11,7 @@ from wiretide.schemas import MICROS, ExtractionConfig
 from wiretide.streaming.flows import stream_features
 
 FINE = LayoutOptions(rows_per_slice=15)
+NESTED = LayoutOptions(rows_per_slice=15, max_slices=3)
 
 
 def track(packets, timeout_us, interval_us=0, capacity=None):
@@ -35,7 +36,7 @@ def table(spark):
     return busy_table(spark, 900).cache()
 
 
-@pytest.mark.parametrize("options", [LayoutOptions(), CUT, FINE], ids=["whole", "cut", "fine"])
+@pytest.mark.parametrize("options", [LayoutOptions(), CUT, FINE, NESTED], ids=["whole", "cut", "fine", "nested"])
 @pytest.mark.parametrize("interval, capacity", [(5.0, None), (37.3, None), (None, 3), (None, 12), (20.0, 6)])
 def test_sessions_under_sweeps_and_a_cap(spark, table, options, interval, capacity):
     rows = with_flow_identity(split_valid(table)[0])

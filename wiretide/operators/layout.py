@@ -9,28 +9,37 @@ an unbounded share of the data. A layout says where to cut:
   packet_id;
 * ``hot_flows`` lists the flows that are split along those slices too.
 
-The cut points come from a bounded sample, as in Spark's own range partitioning.
+The cut points come from a bounded sample, as in Spark's own range partitioning. A table
+of more than ``max_slices`` slices is cut again within them: ``inner``, a table with the cuts
+of each slice from a larger sample that stays distributed, and ``hot_table`` for its flows.
 They only decide where the work is done: every operator that uses a layout gives
 the same rows for any cut points.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wiretide.sources.storage import materialize
+
 TIME_ORDER = ("ts_us", "packet_id")
 ARRIVAL_ORDER = ("packet_id",)
 SAMPLE_ROWS_PER_SLICE = 40
+#: Numbers of the inner slices of one slice; up to so many cuts, and flows, in a broadcast table.
+INNER, BROADCAST_CUTS = 2**32, 1_000_000
 
 
 @dataclass(frozen=True)
 class LayoutOptions:
-    """How finely to cut: an input of no more than ``rows_per_slice`` rows is one slice."""
+    """How finely to cut: an input of no more than ``rows_per_slice`` rows is one slice.
+
+    More than ``max_slices`` (2 at least) are not cut at the driver, but within those.
+    """
 
     rows_per_slice: int = 1_000_000
     max_slices: int = 20_000
@@ -51,9 +60,25 @@ class Layout:
     cuts: tuple[int, ...] = ()
     instants: dict[int, Instant] = field(default_factory=dict)
     hot_flows: tuple[int, ...] = ()
+    inner: DataFrame | None = field(default=None, compare=False)
+    hot_table: DataFrame | None = field(default=None, compare=False)
+    parts: int = 1
+
+    @property
+    def cuts_flows(self) -> bool:
+        return bool(self.hot_flows) or self.hot_table is not None
+
+    def top(self) -> Layout:
+        """The slices without those within them."""
+        return Layout(self.order, self.cuts, self.instants)
+
+    def small(self, table: DataFrame) -> DataFrame:
+        """A table of one row or so per slice, marked for a broadcast if the number of slices allows it."""
+        return F.broadcast(table) if self.n_slices * self.parts <= BROADCAST_CUTS else table
 
     @property
     def n_slices(self) -> int:
+        """Slices, without those within them."""
         return len(self.cuts) + 1 + sum(i.parts - 1 for i in self.instants.values())
 
     def with_slice(self, df: DataFrame, name: str = "_slice") -> DataFrame:
@@ -83,25 +108,60 @@ class Layout:
             step = F.floor((F.col(self.order[1]) - of_bucket(low)) / of_bucket(width))
             inner = F.when(past, F.least(of_bucket(parts) - 1, step)).otherwise(0)
             slice_number = (of_bucket(first) + inner).cast("int")
-        return out.withColumn(name, slice_number).drop("_position", "_bucket")
+        out = out.withColumn(name, slice_number).drop("_position", "_bucket")
+        if self.inner is None:
+            return out
+        out = out.join(self.small(self.inner.withColumnRenamed("_top", name)), name, "left")
+        passed = F.size(F.filter("_inner", lambda cut: cut <= place(self.order)))
+        within = F.when(F.col("_inner").isNull(), 0).otherwise(passed)
+        return out.withColumn(name, F.col(name).cast("bigint") * INNER + within).drop("_inner")
 
     def with_flow_slice(self, df: DataFrame, name: str = "flow_slice") -> DataFrame:
         """Add the slice number for rows of hot flows and -1 for all others."""
         sliced = self.with_slice(df, name)
+        if self.hot_table is not None:
+            sliced = sliced.join(self.small(self.hot_table), "flow_hash", "left")
+            return sliced.withColumn(name, F.when(F.col("_hot"), F.col(name)).otherwise(-1)).drop("_hot")
         hot = F.col("flow_hash").isin(*self.hot_flows)
         return sliced.withColumn(name, F.when(hot, F.col(name)).otherwise(-1))
 
 
+def place(order: tuple[str, ...]) -> Column:
+    """Where a row stands in the order, as one value."""
+    return F.struct(*[F.col(c).cast("bigint").alias(c) for c in order])
+
+
+def cut_within(rows: DataFrame, layout: Layout, parts: int, fraction: float) -> Layout:
+    """The layout with about ``parts`` slices in each of its own, and the flows larger than two of them.
+
+    Every cut is one in ``SAMPLE_ROWS_PER_SLICE`` sampled rows of its slice, in order; an
+    instant is cut by the rest of the order.
+    """
+    by_flow = "flow_hash" in rows.columns
+    columns = [*layout.order, "flow_hash"] if by_flow else list(layout.order)
+    sample = materialize(rows.select(*columns).sample(fraction=fraction, seed=11), "layout-sample")
+    places = F.array_sort(F.collect_list(place(layout.order)))
+    picked = F.filter(places, lambda x, i: (i > 0) & (i % SAMPLE_ROWS_PER_SLICE == 0))
+    inner = layout.with_slice(sample, "_top").groupBy("_top").agg(picked.alias("_inner"))
+    hot = None
+    if by_flow:
+        counts = sample.groupBy("flow_hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 2 * SAMPLE_ROWS_PER_SLICE)
+        hot = materialize(counts.select("flow_hash", F.lit(True).alias("_hot")), "layout-hot")
+    return replace(layout, hot_flows=(), inner=materialize(inner, "layout-inner"), hot_table=hot, parts=parts)
+
+
 def plan_layout(
     rows: DataFrame, order: tuple[str, ...] = TIME_ORDER, options: LayoutOptions = LayoutOptions(), n: int | None = None
 ) -> Layout:
     """Choose cut points for ``rows``, and hot flows if it has a ``flow_hash`` column.
 
     Runs a narrow count, unless the number ``n`` is known, and, where there is more than one
-    slice, a sample of at most about ``40 * max_slices`` rows of two or three longs.
+    slice, a sample of at most about ``40 * max_slices`` rows of two or three longs. Beyond
+    ``max_slices``, a sample of 40 rows a slice is written to the shared folder.
     """
     n = rows.count() if n is None else n
-    slices = min(options.max_slices, -(-n // options.rows_per_slice))
+    wanted = -(-n // options.rows_per_slice)
+    slices = min(options.max_slices, wanted)
     if slices <= 1:
         return Layout(order)
     by_flow = "flow_hash" in rows.columns
@@ -126,9 +186,12 @@ def plan_layout(
             bucket = int(np.searchsorted(cuts, value, side="right"))
             instants[bucket] = Instant(parts, low, (high - low) // parts + 1)
 
+    layout = Layout(order, tuple(int(c) for c in cuts), instants)
+    if wanted > slices:
+        return cut_within(rows, layout, -(-wanted // slices), min(1.0, SAMPLE_ROWS_PER_SLICE * wanted / n))
     hot = ()
     if by_flow:
         counts = sample["flow_hash"].value_counts()
         limit = 2 * n / slices * fraction
         hot = tuple(int(h) for h in counts.index[counts.to_numpy() >= limit])
-    return Layout(order, tuple(int(c) for c in cuts), instants, hot)
+    return replace(layout, hot_flows=hot)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wiretide.functions.packets import estimated_payload, extra_field, port_or_null
-from wiretide.operators.layout import LayoutOptions, plan_layout
+from wiretide.operators.layout import INNER, LayoutOptions, plan_layout
 from wiretide.schemas import MICROS, PACKET_SCHEMA, SUPPORTED_PROTOCOLS
 
 # A packet without one of these cannot be assigned to a flow or counted.
@@ -61,15 +61,20 @@ def capture_limit(
     if packet_count <= 0:
         return out
     # Slices before the one in which the count ends are kept whole; only that one is put in order.
-    sliced = plan_layout(out, options=options).with_slice(out)
-    left, last = packet_count, None
-    for number, rows in sorted(sliced.groupBy("_slice").count().collect()):
-        if rows >= left:
-            last = number
-            break
-        left -= rows
-    if last is None:
-        return out
+    layout = plan_layout(out, options=options)
+    sliced = layout.with_slice(out)
+    left, last, inside = packet_count, None, sliced
+    by_top = [F.floor(F.col("_slice") / INNER)] if layout.inner is not None else []
+    for level in (*by_top, F.col("_slice")):
+        last = None
+        for number, rows in sorted(inside.groupBy(level.alias("part")).count().collect()):
+            if rows >= left:
+                last = number
+                break
+            left -= rows
+        if last is None:
+            return out
+        inside = inside.filter(level == last)
     ends = sliced.filter(F.col("_slice") == last).orderBy("ts_us", "packet_id").limit(left)
     return sliced.filter(F.col("_slice") < last).unionAll(ends).drop("_slice")
 

@@ -148,11 +148,11 @@ def scan_flows(
     """
     order, ts = layout.order, F.col("ts_us")
     keys, carried, seeded = FLOW_KEYS, False, False
-    if state is not None and not layout.hot_flows:
+    if state is not None and not layout.cuts_flows:
         seeded, order = True, ("_rank", *order)
         one = F.lit(1).cast("bigint")
         rows = rows.withColumns({"_rank": one, "_weight": one}).unionByName(state_as_rows(state), allowMissingColumns=True)
-    elif layout.hot_flows:
+    elif layout.cuts_flows:
         keys, carried = SLICE_KEYS, True
         rows = layout.with_flow_slice(rows)
         needed = rows if state is not None else rows.filter(F.col("flow_slice") >= 0)

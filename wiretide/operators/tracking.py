@@ -38,13 +38,13 @@ NEVER, FOREVER = -(2**62), 2**61
 
 def with_previous(rows: DataFrame, layout: Layout) -> DataFrame:
     """Adds a packet's number in the whole order (``_at``, from 1) and slice (``_j``), and the same and the time of its flow's previous packet (``_before``, ``_i``, ``_before_us``)."""
-    numbered = layout.with_slice(running_totals(rows, {"_at": F.lit(1).cast("bigint")}, layout), "_j")
+    numbered = layout.top().with_slice(running_totals(rows, {"_at": F.lit(1).cast("bigint")}, layout), "_j")
     keys = [*FLOW_KEYS, "flow_slice"]
-    sliced = layout.with_flow_slice(numbered) if layout.hot_flows else numbered.withColumn("flow_slice", F.lit(-1))
+    sliced = layout.with_flow_slice(numbered) if layout.cuts_flows else numbered.withColumn("flow_slice", F.lit(-1))
     names = {"_before": "_at", "_i": "_j", "_before_us": "ts_us"}
     along = Window.partitionBy(*keys).orderBy("_at")
     out = sliced.withColumns({new: F.lag(c).over(along) for new, c in names.items()})
-    if layout.hot_flows:
+    if layout.cuts_flows:
         ends = sliced.filter("flow_slice >= 0").groupBy(*keys).agg(*[F.max_by(c, "_at").alias(f"{new}_carried") for new, c in names.items()])
         earlier = Window.partitionBy(*FLOW_KEYS).orderBy("flow_slice")
         ends = ends.select(*keys, *[F.lag(f"{new}_carried").over(earlier).alias(f"{new}_carried") for new in names])
@@ -249,6 +249,6 @@ def scan(rows: DataFrame, config: ExtractionConfig, layout: Layout = Layout()) -
         rows = with_evictions(rows, config.max_tracked_flows, alive)
         over = over | F.col("_evicted")
     # Written once: a flow scan reads its rows twice where hot flows are cut.
-    rows = materialize(rows.withColumn("_forced", over), "tracked") if layout.hot_flows else rows.withColumn("_forced", over)
+    rows = materialize(rows.withColumn("_forced", over), "tracked") if layout.cuts_flows else rows.withColumn("_forced", over)
     helpers = ("_at", "_j", "_before", "_i", "_before_us", "_swept_us", "_evicted")
     return scan_flows(rows.drop(*helpers), timeout, layout).drop("_forced")

@@ -471,6 +471,8 @@ def _on_hot(sql: str) -> str:
 
 for _name in ("full_features", "active_flow_timeline", "flow_summary"):
     ORACLE_SQL[f"{_name}_cut"] = _on_hot(ORACLE_SQL[_name])
+for _name in ("full_features", "active_flow_timeline"):
+    ORACLE_SQL[f"{_name}_nested"] = ORACLE_SQL[f"{_name}_cut"]
 ORACLE_SQL["packet_limit_large"] = _on_hot(
     _sql(f"SELECT packet_id, ts_us FROM good WHERE protocol <> 'OTHER' ORDER BY ts_us, packet_id LIMIT {LARGE_CAPTURE}")
 )

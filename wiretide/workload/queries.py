@@ -48,6 +48,8 @@ FIXED_NOW = float(views.EPOCH_US // MICROS)
 
 # So fine that even small tables take the way of large ones: slices, hot flows, crowded instants.
 CUT = LayoutOptions(rows_per_slice=700)
+# The same with more slices than are cut at once.
+NESTED = LayoutOptions(rows_per_slice=700, max_slices=6)
 
 
 def _usable(spark: SparkSession, sf: str) -> DataFrame:
@@ -212,6 +214,14 @@ def full_features_cut(spark, sf):
     return extract_features(_packets_hot(spark, sf), options=CUT).drop("extra", "window_size")
 
 
+def full_features_nested(spark, sf):
+    return extract_features(_packets_hot(spark, sf), options=NESTED).drop("extra", "window_size")
+
+
+def active_flow_timeline_nested(spark, sf):
+    return flows.active_flow_timeline(_usable_hot(spark, sf), options=NESTED)
+
+
 def active_flow_timeline_cut(spark, sf):
     return flows.active_flow_timeline(_usable_hot(spark, sf), options=CUT)
 
@@ -700,6 +710,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         packet_filter, packet_limit, packet_time_limit, dead_letter, protocol_detect, flow_key_id, packet_direction,
         packet_direction_v6, direction_by_table, tcp_state, payload_size, extra_fields, flow_sessions, packet_features,
         full_features, avg_flow_time, active_flow_timeline, flow_summary, full_features_cut, active_flow_timeline_cut,
+        full_features_nested, active_flow_timeline_nested,
         flow_summary_cut, direction_by_table_join, direction_by_table_unreadable, active_flows_asof, active_flow_count,
         expired_flows_asof, mean_flow_time, recent_flows_topk, normalize_label, severity, threat_label, risk_score,
         feature_select, feature_encode, partial_dataset, scorable_split, class_weights, label_classes, dataset_profile,
