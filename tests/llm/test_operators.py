@@ -535,6 +535,14 @@ def test_few_words_over_many_slices_count_as_types_once(spark, vocabulary, parti
         assert r["base_score"] == pytest.approx(sum(math.log10((count[w] + 1) / (n + v + 1)) for w in own))
 
 
+def test_counts_asked_by_groups_of_chunks_are_the_same(spark):
+    # 19 chunks: 32 slices, or 8 of each of 4 groups of chunks.
+    table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").repartition(19)
+    train = fold(F.col("doc_id"), 7) != 2
+    whole, grouped = (rows(interpolation.score_documents(table, train, most=most)) for most in (interpolation.MOST_SLICES, 4))
+    assert len(whole) > 0 and sorted(map(str, whole)) == sorted(map(str, grouped))
+
+
 def test_interpolation_of_odd_rows(odd, none):
     got = rows(interpolation.score_documents(odd, fold(F.col("doc_id"), 7) != 2))
     assert len(got) == len(ODD) and all(math.isfinite(r["score"]) for r in got)

@@ -11,7 +11,8 @@ Texts become chunks of token numbers, each with its own vocabulary. A chunk asks
 corpus counts of its distinct words and word pairs, in slices by hash; the owner of a
 slice adds what all chunks have and answers in the order of the question. Every distinct
 key leaves a chunk once, so frequent words are no load, and nothing is kept whole in one
-place.
+place. With n chunks there are n slices; beyond MOST_SLICES of them, groups of about sqrt(n)
+chunks add up first, so that messages number n * sqrt(n) and stay some kilobytes large.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wiretide.llm.common import U64, Words, blocks_of, pair_hash, slices, text_table
+from wiretide.llm.common import U64, Words, blocks_of, mix64, pair_hash, slices, text_table
 from wiretide.sources.storage import materialize
 
 #: Characters turned into words at once, and gathered in a chunk.
@@ -35,6 +36,8 @@ CLASSES = 48
 #: Probabilities of held-out tokens are counted to a quarter of a power of two.
 FINENESS = 4
 ROUNDS = 60
+#: Slices that every chunk asks; with more, chunks ask by groups.
+MOST_SLICES = 4096
 END, BEGIN = U64(0x6C62272E07BB0142), U64(0x27D4EB2F165667C5)
 
 CHUNKS = "chunk long, ids array<long>, train array<boolean>, sizes array<int>, vocabulary binary, tokens binary, trained long"
@@ -133,48 +136,105 @@ class Chunk:
         return words.astype(np.uint32), pairs.astype(np.uint32)
 
 
-def _slices(keys: np.ndarray, bits: int) -> np.ndarray:
-    """Where each of 2^bits slices begins in sorted keys, and the end."""
-    edges = np.arange(1, 1 << bits, dtype=U64) << U64(64 - bits)
+def _slices(keys: np.ndarray, bits: int, first: int = 0, width: int = 64) -> np.ndarray:
+    """Where each of 2^bits slices of the 2^width numbers from `first` on begins in sorted keys, and the end."""
+    edges = U64(first) + (np.arange(1, 1 << bits, dtype=U64) << U64(width - bits))
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
-def answered(chunks: DataFrame, bits: int, idle: int) -> DataFrame:
-    """The chunks, each with the corpus counts of its words and pairs: columns answers and, once per slice, types."""
+def _messages(asker: int, slices: np.ndarray, sides: list, cuts: list, idle: int) -> pa.RecordBatch:
+    """One row per slice: the asker's keys in it, and what it has counted of each."""
+    columns: list = []
+    for i, ((keys, counts), at) in enumerate(zip(sides, cuts)):
+        columns.append([_pack_sorted(keys[a:b], i * idle) for a, b in zip(at[:-1], at[1:])])
+        columns.append([_pack(counts[a:b]) for a, b in zip(at[:-1], at[1:])])
+    arrays = [pa.array(np.full(len(slices), asker)), pa.array(slices), *[pa.array(c, type=pa.binary()) for c in columns]]
+    return pa.RecordBatch.from_arrays(arrays, names=["asker", "slice", "words", "word_counts", "pairs", "pair_counts"])
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            chunk = Chunk(row, idle)
-            columns: list = [[], [], [], []]
-            for i, (keys, counts) in enumerate(zip((chunk.words, chunk.pairs), chunk.counts())):
-                at = _slices(keys, bits)
-                for a, b in zip(at[:-1], at[1:]):
-                    columns[2 * i].append(_pack_sorted(keys[a:b], i * idle))
-                    columns[2 * i + 1].append(_pack(counts[a:b]))
-            n = len(columns[0])
-            arrays = [pa.array(np.full(n, row["chunk"])), pa.array(np.arange(n)), *[pa.array(c, type=pa.binary()) for c in columns]]
-            yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "slice", "words", "word_counts", "pairs", "pair_counts"])
+
+MESSAGE = "asker long, slice long, words binary, word_counts binary, pairs binary, pair_counts binary"
+ANSWER = "asker long, slice long, words binary, pairs binary, types long"
+
+
+def _asked(table: pa.Table, side: str, idle: int) -> list[np.ndarray]:
+    return [_unpack_sorted(x, idle if side == "pairs" else 0) for x in table.column(side).to_pylist()]
+
+
+def _summed(table: pa.Table, side: str, idle: int, kind: type) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """The messages' keys; distinct keys, their totals, and where each asked key stands among them."""
+    asked = _asked(table, side, idle)
+    values, where = np.unique(np.concatenate(asked), return_inverse=True)
+    told = np.concatenate([_unpack(x, kind) for x in table.column(f"{side[:-1]}_counts").to_pylist()])
+    return asked, values, np.bincount(where, weights=told, minlength=len(values)).astype(np.uint64), where
+
+
+def _answers(asked: DataFrame, idle: int, kind: type) -> DataFrame:
+    """Per message: the corpus counts of its keys, in their order; types once per slice."""
 
     def answer(key: tuple, table: pa.Table) -> pa.Table:
         out, types = [], 0
-        for keys, counts, unused in (("words", "word_counts", 0), ("pairs", "pair_counts", idle)):
-            asked = [_unpack_sorted(x, unused) for x in table.column(keys).to_pylist()]
-            values, where = np.unique(np.concatenate(asked), return_inverse=True)
-            told = np.concatenate([_unpack(x, np.uint32) for x in table.column(counts).to_pylist()])
-            total = np.bincount(where, weights=told, minlength=len(values)).astype(np.uint64)
+        for side in ("words", "pairs"):
+            keys, _, total, where = _summed(table, side, idle, kind)
             # Words alone are types; a slice can hold pairs and no word.
-            if keys == "words":
+            if side == "words":
                 types = int((total > 0).sum())
-            ends = np.cumsum([len(x) for x in asked])
-            out.append([_pack(x) for x in np.split(total[where], ends[:-1])])
+            out.append([_pack(x) for x in np.split(total[where], np.cumsum([len(k) for k in keys])[:-1])])
         first = np.zeros(len(out[0]), dtype=np.int64)
         first[0] = types
-        return pa.table({"chunk": table.column("chunk"), "slice": table.column("slice"), "words": out[0], "pairs": out[1], "types": first})
+        return pa.table({"asker": table.column("asker"), "slice": table.column("slice"), "words": out[0], "pairs": out[1], "types": first})
+
+    return asked.groupBy("slice").applyInArrow(answer, ANSWER)
+
+
+def _answers_by_groups(asked: DataFrame, bits: int, rest: int, idle: int) -> DataFrame:
+    """The same by two hops: a slice of a group of chunks adds up what these have, and asks for them all.
+
+    Slices are numbered (group, leading bits), and each asks 2^rest slices of its stretch of numbers.
+    """
+
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
+        node = key[0].as_py()
+        lead, width = node & 0xFFFFFFFF, 64 - bits
+        sides = [_summed(table, side, idle, np.uint32)[1:3] for side in ("words", "pairs")]
+        cuts = [_slices(values, rest, lead << width, width) for values, _ in sides]
+        return pa.Table.from_batches([_messages(node, (lead << rest) + np.arange(1 << rest), sides, cuts, idle)])
+
+    def spread(key: tuple, messages: pa.Table, answers: pa.Table) -> pa.Table:
+        order, out = np.argsort(answers.column("slice").to_numpy()), []
+        for side in ("words", "pairs"):
+            asked = _asked(messages, side, idle)
+            values, counts = np.unique(np.concatenate(asked)), answers.column(side).to_pylist()
+            total = np.concatenate([_unpack(counts[i], np.uint64) for i in order])
+            out.append([_pack(total[np.searchsorted(values, keys)]) for keys in asked])
+        first = np.zeros(messages.num_rows, dtype=np.int64)
+        first[0] = sum(answers.column("types").to_pylist())
+        return pa.table({"asker": messages.column("asker"), "slice": messages.column("slice"), "words": out[0], "pairs": out[1], "types": first})
+
+    asked = materialize(asked, "asked")
+    answers = _answers(asked.groupBy("slice").applyInArrow(merge, MESSAGE), idle, np.uint64)
+    return asked.groupBy("slice").cogroup(answers.groupBy("asker")).applyInArrow(spread, ANSWER)
+
+
+def answered(chunks: DataFrame, bits: int, idle: int, most: int = MOST_SLICES) -> DataFrame:
+    """The chunks, each with the corpus counts of its words and pairs: columns answers and, once per slice, types.
+
+    Up to `most` slices a chunk asks all 2^bits of them. Beyond, messages would become many
+    and small: a chunk asks half as many bits' worth of slices of its group of chunks.
+    """
+    lead = bits if 1 << bits <= most else (bits + 1) // 2
+    groups = 1 << (bits - lead)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            chunk = Chunk(row, idle)
+            sides = list(zip((chunk.words, chunk.pairs), chunk.counts()))
+            group = int(mix64(np.array([row["chunk"]], dtype=U64))[0]) % groups
+            yield _messages(row["chunk"], (group << 32) + np.arange(1 << lead), sides, [_slices(keys, lead) for keys, _ in sides], idle)
 
-    asked = chunks.select("chunk", "train", "sizes", "vocabulary", "tokens").mapInArrow(ask, "chunk long, slice long, words binary, word_counts binary, pairs binary, pair_counts binary")
-    answers = asked.groupBy("slice").applyInArrow(answer, "chunk long, slice long, words binary, pairs binary, types long")
-    gathered = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("slice", "words", "pairs"))).alias("answers"), F.sum("types").alias("types"))
-    return chunks.join(gathered, "chunk")
+    asked = chunks.select("chunk", "train", "sizes", "vocabulary", "tokens").mapInArrow(ask, MESSAGE)
+    answers = _answers(asked, idle, np.uint32) if groups == 1 else _answers_by_groups(asked, lead, bits - lead, idle)
+    parts = F.sort_array(F.collect_list(F.struct("slice", "words", "pairs"))).alias("answers")
+    return chunks.join(answers.groupBy(F.col("asker").alias("chunk")).agg(parts, F.sum("types").alias("types")), "chunk")
 
 
 def _class(seen: np.ndarray) -> np.ndarray:
@@ -245,7 +305,7 @@ def learn_weights(cells: np.ndarray, counts: np.ndarray, types: int) -> np.ndarr
     return weights
 
 
-def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", most: int = MOST_SLICES) -> DataFrame:
     """Per row: doc_id, train, n_tokens, n_known, train_tokens, base_score, score.
 
     train: which rows the counts come from. A null or empty text is its end alone. Rows
@@ -257,7 +317,7 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     # A slice for each chunk or so: both sides of the exchange grow alike.
     bits = max(1, int(max(n, 1) - 1).bit_length())
     idle = idle_bits(tokens)
-    counted = materialize(answered(chunks, bits, idle), "counted")
+    counted = materialize(answered(chunks, bits, idle, most), "counted")
     corpus = Corpus(tokens, counted.agg(F.coalesce(F.sum("types"), F.lit(0))).first()[0], texts)
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
