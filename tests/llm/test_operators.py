@@ -1,6 +1,8 @@
 """The training-data operators against plain versions, on sf0.001 and on odd rows."""
 
 import math
+import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -222,6 +224,31 @@ def test_urls(spark):
     assert rows(url_filter.judge(table.limit(0))) == []
 
 
+def test_a_vocabulary_from_a_table_decides(spark):
+    weights = [("Casino", 1.0), ("casino", 0.2), ("Bet", 0.5), ("365", 0.5), ("x-ray", 0.5), ("жар", 2.0), ("", 3.0), (None, 1.0), ("idle", 0.0), ("none", None), ("nan", math.nan)]
+    strict, soft = url_filter.vocabulary(spark.createDataFrame(weights, "term string, weight double"))
+    assert (strict, soft) == (("casino", "жар"), ("365", "bet", "x-ray"))
+    rng, parts = random.Random(5), ["casino", "Casinos", "bet", "365", "1365", "x-ray", "x", "ray", "жар", "nan", "best", "7", "é"]
+    urls = [f"http://{''.join(rng.choice(parts) + rng.choice(['', '', '-', '.', '/']) for _ in range(rng.randrange(1, 6)))}" for _ in range(400)]
+
+    def plain(url):
+        text = url.translate(url_filter._LOWER)
+        edge = {True: "[a-z]", False: "[0-9]"}
+        hit = lambda t: re.findall(
+            "(?=" + ("(?<!%s)" % edge[t[0].isalpha()] if t[0].isascii() else "") + re.escape(t) + ("(?!%s)" % edge[t[-1].isalpha()] if t[-1].isascii() else "") + ")", text
+        )
+        return sum(len(hit(t)) for t in strict), sum(bool(hit(t)) for t in soft)
+
+    table = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: r for r in url_filter.judge(table, rules=(), strict=strict, soft=soft).collect()}
+    for i, url in enumerate(urls):
+        hits = plain(url)
+        assert (got[i]["strict_hits"], got[i]["soft_terms"]) == hits, url
+        assert got[i]["verdict"] == ("block" if hits[0] or hits[1] >= 2 else "allow")
+    assert 100 < sum(r["verdict"] == "block" for r in got.values()) < 350
+    assert {r["verdict"] for r in url_filter.judge(table, rules=(), strict=(), soft=()).collect()} == {"allow"}
+
+
 # 4, 8: learned models
 
 

@@ -8,12 +8,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _hits(term: str) -> str:
-    return f"regexp_matches(u, '(^|[^a-z0-9]){term}([^a-z0-9]|$)')"
+    return f"regexp_matches(u, '(^|[^a-z]){term}([^a-z]|$)')"
 
 
 _SOFT_TERMS = " + ".join(f"CAST({_hits(t)} AS BIGINT)" for t in SOFT)
 # Splitting at the neighbours lets two hits share one.
-_STRICT_HITS = " + ".join(f"len([x for x in regexp_split_to_array(u, '[^a-z0-9]+') if x = '{t}'])" for t in STRICT)
+_STRICT_HITS = " + ".join(f"len([x for x in regexp_split_to_array(u, '[^a-z]+') if x = '{t}'])" for t in STRICT)
 
 OP2_MIXING = f"""
 WITH d AS (

@@ -1,7 +1,9 @@
 """URL filter: host and path rules, then a weighted vocabulary found by one automaton.
 
-Terms count where neither neighbour is a letter or digit. One strict term rejects, and so
-do SOFT_HITS different soft ones. The vocabulary is a parameter.
+Terms count where neither neighbour goes on with the word: no letter beside a letter, no
+digit beside a digit, so `casino24` holds `casino` and `casinos` does not. One strict term
+rejects, and so do SOFT_HITS different soft ones. The vocabulary is a parameter, which
+`vocabulary` reads from a table of weighted terms.
 """
 
 from __future__ import annotations
@@ -13,6 +15,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wiretide.llm.common import column
+
+#: Terms a vocabulary may have: the automaton is shipped to every task.
+MOST_TERMS = 100_000
 STRICT = ("casino", "porn", "xxx", "escort", "viagra", "hentai", "phishing", "malware", "warez")
 SOFT = ("spam", "farm", "ads", "track", "free", "bets", "bet", "win", "poker", "cheap", "pills", "loan", "click", "adult", "jackpot", "bonus")
 SOFT_HITS = 2
@@ -68,7 +74,7 @@ def count_terms(url: str | None, strict: tuple[str, ...], soft: tuple[str, ...])
     hits, found = 0, set()
     for end, (weight, term) in automaton.iter(text):
         begin = end - len(term) + 1
-        if (begin and text[begin - 1] in _ALNUM) or text[end + 1 : end + 2] in _ALNUM:
+        if _goes_on(text[begin - 1 : begin], term[0]) or _goes_on(term[-1], text[end + 1 : end + 2]):
             continue
         if weight:
             hits += 1
@@ -77,8 +83,29 @@ def count_terms(url: str | None, strict: tuple[str, ...], soft: tuple[str, ...])
     return hits, len(found)
 
 
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_ALNUM = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
+_CASES = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_LOWER = str.maketrans(*_CASES)
+_LETTERS, _DIGITS = frozenset("abcdefghijklmnopqrstuvwxyz"), frozenset("0123456789")
+
+
+def _goes_on(left: str, right: str) -> bool:
+    """Whether two neighbours belong to one word; an end of the text does not."""
+    return (left in _LETTERS and right in _LETTERS) or (left in _DIGITS and right in _DIGITS)
+
+
+def vocabulary(table: DataFrame, term_col: str = "term", weight_col: str = "weight", strict_weight: float = 1.0) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """Strict terms (of that weight or more) and soft ones (of a smaller weight above 0), for `judge`.
+
+    A-Z are lower-cased, a repeated term has its greatest weight; null and empty terms and
+    those without a weight are left out. More than MOST_TERMS terms are an error.
+    """
+    terms = table.select(F.translate(column(term_col), *_CASES).alias("term"), column(weight_col).cast("double").alias("weight"))
+    terms = terms.filter((F.length("term") > 0) & (F.col("weight") > 0) & ~F.isnan("weight"))
+    found = terms.groupBy("term").agg(F.max("weight").alias("weight")).orderBy("term").limit(MOST_TERMS + 1).collect()
+    if len(found) > MOST_TERMS:
+        raise ValueError(f"a vocabulary has at most {MOST_TERMS} terms")
+    strict = tuple(r["term"] for r in found if r["weight"] >= strict_weight)
+    return strict, tuple(r["term"] for r in found if r["weight"] < strict_weight)
 
 
 def term_counts(url: Column, strict: Sequence[str] = STRICT, soft: Sequence[str] = SOFT) -> Column:
