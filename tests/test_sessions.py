@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wiretide import ExtractionConfig
 from wiretide.functions.flowkey import with_flow_identity
 from wiretide.operators import flows
-from wiretide.operators.layout import ARRIVAL_ORDER, TIME_ORDER, LayoutOptions, place, plan_layout
+from wiretide.operators.layout import ARRIVAL_ORDER, FAN, INNER, TIME_ORDER, Layout, LayoutOptions, place, plan_layout, search_steps
 from wiretide.operators.packets import capture_limit, split_valid
 from wiretide.operators.running import running_totals
 from wiretide.operators.sessions import scan_flows, with_flow_statistics
@@ -224,3 +224,17 @@ def test_capture_limits(spark):
     first = table.agg(F.min("ts_us")).first()[0]
     early = capture_limit(table, timeout_seconds=100.0)
     assert early.count() == table.filter(F.col("ts_us") < first + 100_000_000).count() > 0
+
+
+@pytest.mark.parametrize("cuts", [0, 1, 15, 16, 17, 255, 256, 1_000])
+def test_a_place_is_found_among_many_cuts_by_a_few_comparisons(spark, cuts):
+    inner = spark.range(2).selectExpr("cast(id AS int) AS _top", f"explode(sequence(0, {max(cuts - 1, 0)})) AS _i").filter(F.lit(cuts > 0))
+    inner = inner.select("_top", "_i", F.struct((F.col("_i").cast("bigint") * 3 + F.col("_top") * 10_000).alias("ts_us"), F.lit(5).cast("bigint").alias("packet_id")).alias("_cut"))
+    steps = search_steps(inner, cuts)
+    assert all(table.agg(F.coalesce(F.max(F.size("_cuts")), F.lit(0))).first()[0] < FAN for _, table in steps)
+    layout = Layout(cuts=(10_000,), inner=steps, parts=cuts + 1)
+    rows = spark.range(0, 13_500, 7).selectExpr("id AS ts_us", "id % 10 AS packet_id")
+    for r in layout.with_slice(rows).collect():
+        top = int(r.ts_us >= 10_000)
+        passed = sum((i * 3 + top * 10_000, 5) <= (r.ts_us, r.packet_id) for i in range(cuts))
+        assert r._slice == top * INNER + passed

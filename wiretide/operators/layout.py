@@ -10,8 +10,9 @@ an unbounded share of the data. A layout says where to cut:
 * ``hot_flows`` lists the flows that are split along those slices too.
 
 The cut points come from a bounded sample, as in Spark's own range partitioning. A table
-of more than ``max_slices`` slices is cut again within them: ``inner``, a table with the cuts
+of more than ``max_slices`` slices is cut again within them: ``inner``, tables with the cuts
 of each slice from a larger sample that stays distributed, and ``hot_table`` for its flows.
+A row finds its cut as in a search tree, in steps of a few cuts each, however many there are.
 They only decide where the work is done: every operator that uses a layout gives
 the same rows for any cut points.
 """
@@ -32,6 +33,8 @@ ARRIVAL_ORDER = ("packet_id",)
 SAMPLE_ROWS_PER_SLICE = 40
 #: Numbers of the inner slices of one slice; up to so many cuts, and flows, in a broadcast table.
 INNER, BROADCAST_CUTS = 2**32, 1_000_000
+#: Cuts a row is compared with at once.
+FAN = 16
 
 
 @dataclass(frozen=True)
@@ -60,7 +63,7 @@ class Layout:
     cuts: tuple[int, ...] = ()
     instants: dict[int, Instant] = field(default_factory=dict)
     hot_flows: tuple[int, ...] = ()
-    inner: DataFrame | None = field(default=None, compare=False)
+    inner: tuple[tuple[int, DataFrame], ...] | None = field(default=None, compare=False)
     hot_table: DataFrame | None = field(default=None, compare=False)
     parts: int = 1
 
@@ -72,9 +75,9 @@ class Layout:
         """The slices without those within them."""
         return Layout(self.order, self.cuts, self.instants)
 
-    def small(self, table: DataFrame) -> DataFrame:
-        """A table of one row or so per slice, marked for a broadcast if the number of slices allows it."""
-        return F.broadcast(table) if self.n_slices * self.parts <= BROADCAST_CUTS else table
+    def small(self, table: DataFrame, step: int = 1) -> DataFrame:
+        """A table of one row or so per ``step`` slices, marked for a broadcast if the number of slices allows it."""
+        return F.broadcast(table) if self.n_slices * self.parts <= BROADCAST_CUTS * step else table
 
     @property
     def n_slices(self) -> int:
@@ -111,10 +114,13 @@ class Layout:
         out = out.withColumn(name, slice_number).drop("_position", "_bucket")
         if self.inner is None:
             return out
-        out = out.join(self.small(self.inner.withColumnRenamed("_top", name)), name, "left")
-        passed = F.size(F.filter("_inner", lambda cut: cut <= place(self.order)))
-        within = F.when(F.col("_inner").isNull(), 0).otherwise(passed)
-        return out.withColumn(name, F.col(name).cast("bigint") * INNER + within).drop("_inner")
+        out = out.withColumn("_within", F.lit(0).cast("bigint"))
+        for step, cuts in self.inner:
+            out = out.join(self.small(cuts.withColumnRenamed("_top", name), step), [name, "_within"], "left")
+            passed = F.size(F.filter("_cuts", lambda cut: cut <= place(self.order)))
+            passed = F.when(F.col("_cuts").isNull(), 0).otherwise(passed)
+            out = out.withColumn("_within", F.col("_within") * FAN + passed).drop("_cuts")
+        return out.withColumn(name, F.col(name).cast("bigint") * INNER + F.col("_within")).drop("_within")
 
     def with_flow_slice(self, df: DataFrame, name: str = "flow_slice") -> DataFrame:
         """Add the slice number for rows of hot flows and -1 for all others."""
@@ -131,6 +137,24 @@ def place(order: tuple[str, ...]) -> Column:
     return F.struct(*[F.col(c).cast("bigint").alias(c) for c in order])
 
 
+def search_steps(inner: DataFrame, most: int) -> tuple[tuple[int, DataFrame], ...]:
+    """The cuts (_top, _i, _cut), at most ``most`` in a slice, as the levels of a search tree, the widest steps first.
+
+    A level has, for every stretch of FAN steps, the last cut of each but the last step: those up to
+    a row tell its stretch of the next level.
+    """
+    step = 1
+    while step * FAN <= most:
+        step *= FAN
+    levels = []
+    while step >= 1:
+        ends, stretch = (F.col("_i") + 1) % step == 0, F.floor(F.col("_i") / (step * FAN)).cast("bigint")
+        own = inner.filter(ends & ((F.col("_i") + 1) % (step * FAN) != 0)).groupBy("_top", stretch.alias("_within"))
+        levels.append((step, materialize(own.agg(F.collect_list("_cut").alias("_cuts")), "layout-cuts")))
+        step //= FAN
+    return tuple(levels)
+
+
 def cut_within(rows: DataFrame, layout: Layout, parts: int, fraction: float) -> Layout:
     """The layout with about ``parts`` slices in each of its own, and the flows larger than two of them.
 
@@ -143,11 +167,13 @@ def cut_within(rows: DataFrame, layout: Layout, parts: int, fraction: float) ->
     places = F.array_sort(F.collect_list(place(layout.order)))
     picked = F.filter(places, lambda x, i: (i > 0) & (i % SAMPLE_ROWS_PER_SLICE == 0))
     inner = layout.with_slice(sample, "_top").groupBy("_top").agg(picked.alias("_inner"))
+    inner = materialize(inner.select("_top", F.posexplode("_inner").alias("_i", "_cut")), "layout-inner")
+    most = inner.agg(F.coalesce(F.max("_i") + 1, F.lit(0))).first()[0]
     hot = None
     if by_flow:
         counts = sample.groupBy("flow_hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 2 * SAMPLE_ROWS_PER_SLICE)
         hot = materialize(counts.select("flow_hash", F.lit(True).alias("_hot")), "layout-hot")
-    return replace(layout, hot_flows=(), inner=materialize(inner, "layout-inner"), hot_table=hot, parts=parts)
+    return replace(layout, hot_flows=(), inner=search_steps(inner, most), hot_table=hot, parts=parts)
 
 
 def plan_layout(
