@@ -11,12 +11,13 @@ from wiretide.operators.packets import capture
 from wiretide.plans.extract import extract_features
 from wiretide.plans.score import score
 from wiretide.plans.train import create_model
-from wiretide.sources import tables
+from wiretide.sources import storage, tables
 from wiretide.streaming.delivery import dead_letters, deliver, delivered, each_record, isolated, write_under_batch
 from wiretide.streaming.flows import Progress, Totals, advance, stream_features
 from wiretide.streaming.late import late_counts, late_packets, part_late
 from wiretide.streaming.store import FlowStore
 from wiretide.streaming.summary import end_mark, flow_summary_stream
+from wiretide.workload import queries
 
 
 def rows(df):
@@ -192,3 +193,26 @@ def test_packets_from_json_messages(spark):
     message = '{"packet_id":1,"src_ip":"a","dst_ip":"b","protocol":"TCP","length":5,"ts_us":7}'
     got = tables.packets_from_json(spark.createDataFrame([(message,)], "value string")).first()
     assert (got.packet_id, got.src_ip, got.length, got.ts_us, got.ttl) == (1, "a", 5, 7, None)
+
+
+def test_parted_packets_lie_in_files_of_bounded_size(spark, table, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "FILE_ROWS", 100)
+    source, folder = str(tmp_path / "in"), str(tmp_path / "out")
+    table.coalesce(1).write.parquet(source)
+    part_late(tables.stream_packets(spark, source, schema=table.schema), folder, trigger={"availableNow": True}).awaitTermination()
+    parted = spark.read.schema(table.schema).parquet(f"{folder}/parted")
+    sizes = [r["count"] for r in parted.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) <= 100 and sum(sizes) == table.count()
+
+
+def test_the_late_stream_is_written_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "FILE_ROWS", 150)
+    monkeypatch.setattr(storage, "work_folder", lambda session, name: str(tmp_path / name))
+    spark.range(2_000).selectExpr(
+        "id AS event_id", "timestamp_micros(1704067200000000 + id * 1000000000) AS ts", "id % 40 AS user_id", "'click' AS event_type", "1.0D AS value"
+    ).coalesce(1).write.parquet(str(tmp_path / "sf" / "events.parquet"))
+    fates = {r.fate: r.packets for r in queries.late_packets_stream(spark, str(tmp_path / "sf")).filter("packet_id IS NULL").collect()}
+    usable = 2_000 - len([i for i in range(2_000) if i % 997 == 0])
+    assert fates["late, counted"] > 0 and sum(fates.values()) == usable
+    written = spark.read.parquet(str(tmp_path / "late-packets-stream" / "packets"))
+    assert written.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 150

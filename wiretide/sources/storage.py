@@ -7,6 +7,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows of a file whose reader sorts what it reads. Spark counts 4 MB for opening a file and
+#: gives a task 128 MB, so a task holds 32 files at most, however large the table is.
+FILE_ROWS = 100_000
+
+
 def _filesystem(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wiretide.operators.packets import split_valid
 from wiretide.schemas import MICROS, ExtractionConfig
+from wiretide.sources import storage
 from wiretide.sources.storage import children, read_text, write_text
 from wiretide.streaming.delivery import deliver
 
@@ -43,9 +44,9 @@ def part_late(
         late = F.lit(False)
         if earlier:
             late = F.col("ts_us") + config.timeout_us <= max(earlier) - delay_us
-        # One pass writes both sides.
+        # One pass writes both sides, in files of which a reader sorts no more than some millions of rows.
         parted = usable.withColumn("late", late)
-        parted.write.mode("overwrite").partitionBy("late").parquet(f"{folder}/parted/batch={batch_id}")
+        parted.write.mode("overwrite").option("maxRecordsPerFile", storage.FILE_ROWS).partitionBy("late").parquet(f"{folder}/parted/batch={batch_id}")
         told = spark.read.schema(parted.schema).parquet(f"{folder}/parted/batch={batch_id}").agg(
             F.max("ts_us").alias("latest_us"), F.count_if("late").alias("late"), F.count_if(~F.col("late")).alias("in_time")
         )

@@ -632,7 +632,7 @@ def summary_stream(spark, sf):
     """Flow sessions by session windows on a stream over the whole table, to its end."""
     folder = storage.work_folder(spark, "summary-stream")
     packets = views.packets(spark, sf)
-    packets.unionByName(end_mark(packets), allowMissingColumns=True).write.parquet(f"{folder}/packets")
+    packets.unionByName(end_mark(packets), allowMissingColumns=True).write.option("maxRecordsPerFile", storage.FILE_ROWS).parquet(f"{folder}/packets")
     stream = tables.stream_packets(spark, f"{folder}/packets", schema=packets.schema)
     query = (
         flow_summary_stream(stream)
@@ -646,15 +646,16 @@ def summary_stream(spark, sf):
 
 
 def late_packets_stream(spark, sf):
-    """A stream whose last file holds late packets: what is set aside, and what the flow sessions of the rest hold."""
+    """A stream that ends with late packets: what is set aside, and what the flow sessions of the rest hold."""
     folder, packets = storage.work_folder(spark, "late-packets-stream"), views.packets(spark, sf)
     delayed = F.col("packet_id") % LATE_EVERY == 0
     edge = packets.approxQuantile("ts_us", [0.5], 0.01)[0]
     ending = packets.limit(0).unionByName(end_mark(packets, LATE_DELAY), allowMissingColumns=True)
     for part in (packets.filter(~delayed & (F.col("ts_us") < edge)), packets.filter(~delayed & (F.col("ts_us") >= edge)), packets.filter(delayed), ending):
-        part.coalesce(1).write.mode("append").parquet(f"{folder}/packets")
-    source = tables.stream_packets(spark, f"{folder}/packets", schema=packets.schema, maxFilesPerTrigger=1)
-    part_late(source, folder, LATE_DELAY, trigger={"availableNow": True}).awaitTermination()
+        part.write.mode("append").option("maxRecordsPerFile", storage.FILE_ROWS).parquet(f"{folder}/packets")
+        # Each part is one micro-batch, of as many files as it takes.
+        source = tables.stream_packets(spark, f"{folder}/packets", schema=packets.schema)
+        part_late(source, folder, LATE_DELAY, trigger={"availableNow": True}).awaitTermination()
     in_time = in_time_stream(spark, folder, packets.schema)
     query = (
         flow_summary_stream(in_time, f"{LATE_DELAY} seconds")
