@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from check_oracle import compare, connect
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ import corpus_pipeline
 from wiretide.llm import (
     cover_tree, interpolation, language_id, mixing, near_duplicates, packing, repetition, token_files, tokens, toxicity, url_filter,
 )
+from wiretide.llm import common
 from wiretide.llm.common import fold, ship_package
 from wiretide.llm.oracle import ORACLE_SQL
 from wiretide.llm.queries import BYTE_TOKENIZER, QUERIES, WORD_TOKENIZER, tokenizer_path
@@ -596,3 +598,18 @@ def test_pipeline(spark, documents):
     mixed = [(r["doc_id"], r["text"]) for r in seen[3][1].collect()]
     check_packing(mixed, rows(seen[4][1]))
     assert spark.createDataFrame([], seen[0][1].schema).columns == columns
+
+
+def test_the_pipeline_hands_texts_to_python_by_bytes(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in batches)
+    texts = spark.range(0, 6_000, 1, 1).select("id", F.repeat(F.lit("word "), 1_000).alias("text"))
+    before = spark.conf.get(name, None)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            if stage is not corpus_pipeline.mix_sources:
+                assert stage.__wrapped__
+        common.in_small_batches(lambda session: None)(spark)
+        assert max(r.n for r in texts.mapInArrow(sizes, "n long").collect()) < 2 * common.BATCH_BYTES
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
