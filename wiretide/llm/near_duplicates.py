@@ -129,11 +129,12 @@ def _near(percent: int) -> Column:
     return (small * 100 >= large * percent) & (apart <= most_bits(percent / 100))
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets link."""
+def _compared(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs (a, b and other long columns) with linked: whether their full sets link."""
+    names = pairs.columns
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
-        first, second = (batch.column(i).to_pylist() for i in (2, 3))
+        first, second = (batch.column(c).to_pylist() for c in ("text_a", "text_b"))
         keep = np.zeros(batch.num_rows, dtype=bool)
         for begin in range(0, batch.num_rows, 64):
             end = min(begin + 64, batch.num_rows)
@@ -147,12 +148,11 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 union = len(x) + len(y) - both
                 keep[i] = union > 0 and 100 * both >= percent * union
-        kept = batch.filter(pa.array(keep))
-        return pa.RecordBatch.from_arrays(kept.columns[:2], names=["a", "b"])
+        return pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(keep)], names=[*names, "linked"])
 
     side = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
-    return row_pass(joined, check, "a long, b long")
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").select(*names, "text_a", "text_b")
+    return row_pass(joined, check, ", ".join(f"{c} long" for c in names) + ", linked boolean")
 
 
 def _linked_blocks(first: list[np.ndarray], second: list[np.ndarray], percent: int) -> np.ndarray:
@@ -193,15 +193,17 @@ def _spanning(linked: np.ndarray, first: np.ndarray, second: np.ndarray) -> tupl
 def _within_clusters(cluster: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) of cluster members that the center does not link, to all of their cluster.
 
-    cluster: center, doc_id, linked (in the center's component). Rows are dealt out to
-    pairs of blocks of about BLOCK_ROWS; a block of linked rows meets no other such block.
+    cluster: center, doc_id, linked (to the center), without the centers' own rows. Rows are
+    dealt out to pairs of blocks of about BLOCK_ROWS; a block of linked rows meets no other such block.
     """
-    count = lambda c: F.ceil(F.count_if(c) / BLOCK_ROWS).cast("int")
+    blocks = lambda n: F.ceil(n / BLOCK_ROWS).cast("int")
     linked = F.col("linked")
-    sizes = cluster.groupBy("center").agg(count(linked).alias("in"), count(~linked).alias("out"), F.count_if(linked).alias("n_in"), F.count_if(~linked).alias("n_out"))
-    # One row beside the center has met it already.
-    sizes = sizes.filter("out > 0 and n_in + n_out > 2").drop("n_in", "n_out")
-    rows = cluster.join(sizes, "center").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.when(linked, F.col("in")).otherwise(F.col("out"))).cast("int"))
+    # A center is one of the linked rows; one row beside it has met it already.
+    sizes = cluster.groupBy("center").agg((F.count_if(linked) + 1).alias("n_in"), F.count_if(~linked).alias("n_out")).filter("n_out > 0 and n_in + n_out > 2")
+    sizes = materialize(sizes.select("center", blocks(F.col("n_in")).alias("in"), blocks(F.col("n_out")).alias("out")), "cluster-sizes")
+    rows = cluster.select("center", "doc_id", "linked").join(sizes, "center")
+    rows = rows.unionAll(sizes.select("center", F.col("center").alias("doc_id"), F.lit(True).alias("linked"), "in", "out"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.when(linked, F.col("in")).otherwise(F.col("out"))).cast("int"))
     every = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
     met = lambda i, inside, j, side: F.struct(i.alias("i"), F.lit(inside).alias("inside"), j.alias("j"), side.alias("side"))
     block = F.col("block")
@@ -241,9 +243,11 @@ def near_duplicates(
     signed = materialize(signatures(docs, shingle, id_col, text_col), "signatures")
     usable = signed.filter("doc_id is not null and n_shingles > 0")
     same_set = ["left", "right", "n_shingles"]
-    classes = usable.groupBy(same_set).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("size"))
+    # What a text's set decides is the same in all rows of a class.
+    of_set = [F.first(c).alias(c) for c in ("bands", *_SKETCH)]
+    classes = usable.groupBy(same_set).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("size"), *of_set)
     classes = materialize(classes, "classes")
-    heads = usable.join(classes.select(*same_set, F.col("first").alias("doc_id")), [*same_set, "doc_id"], "left_semi")
+    heads = classes.withColumnRenamed("first", "doc_id")
     bands = heads.select("doc_id", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("members"))
     met = materialize(bands.join(shared.filter("low < high").select("band", "members"), "band"), "met")
@@ -261,24 +265,25 @@ def near_duplicates(
     near = stars.join(side("a"), "a").join(side("b"), "b").filter(_near(percent))
     best = near.groupBy("b").agg(F.max(F.struct("company", (-F.col("a")).alias("minus"))).alias("m")).select((-F.col("m.minus")).alias("a"), "b")
     best = materialize(best, "stars")
-    links = materialize(_confirmed(best, texts, shingle, percent), "star-links")
-    joined = connected_components(links)
-
-    # The others of a cluster with all of it.
-    members = best.select(F.col("a").alias("center"), F.col("b").alias("doc_id"))
-    members = members.unionAll(members.select("center", F.col("center").alias("doc_id")).distinct())
-    placed = members.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    of_center = joined.select(F.col("node").alias("center"), F.col("component").alias("of_center"))
-    placed = placed.join(of_center, "center", "left")
-    linked = F.coalesce("component", "doc_id") == F.coalesce("of_center", "center")
-    inner = materialize(_within_clusters(placed.select("center", "doc_id", linked.alias("linked")), texts, shingle, percent), "cluster-links")
-    links = links.unionAll(inner)
+    # An id with several texts is linked if one of them is.
+    stars = _compared(best, texts, shingle, percent).groupBy("a", "b").agg(F.max("linked").alias("linked"))
+    stars = materialize(stars, "star-links")
+
+    # The others of a cluster with all of it. A center has more company than its members (or
+    # a smaller id), so no chain of centers leads back: only the link itself joins the two.
+    members = stars.select(F.col("a").alias("center"), F.col("b").alias("doc_id"), "linked")
+    inner = _within_clusters(members, texts, shingle, percent)
+    # An id whose rows differ in their sets joins the classes of all of them.
+    sets = signed.filter("doc_id is not null").groupBy("doc_id").agg(*[F.min(c).alias(f"{c}_low") for c in same_set], *[F.max(c).alias(f"{c}_high") for c in same_set])
+    several = sets.filter(" or ".join(f"{c}_low <> {c}_high" for c in same_set)).select("doc_id")
+    repeated = usable.join(several, "doc_id", "left_semi").select("doc_id", *same_set).distinct().join(classes, same_set)
+    links = stars.filter("linked").select("a", "b").unionAll(inner).unionAll(repeated.select(F.col("doc_id").alias("a"), F.col("first").alias("b")))
     joined = connected_components(links)
 
     # What is left: pairs of a bucket in different clusters that no link joins so far. A
     # center is compared with its own cluster there, and with others here.
     placed = met.join(joined.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-    placed = placed.select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    placed = materialize(placed.select("band", "doc_id", F.coalesce("component", "doc_id").alias("component")), "placed")
     split = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("band")
     cluster = best.select(F.col("b").alias("doc_id"), F.col("a").alias("center"))
     rest = placed.join(split, "band").join(sketch, "doc_id").join(cluster, "doc_id", "left").withColumn("center", F.coalesce("center", "doc_id"))
@@ -286,20 +291,17 @@ def near_duplicates(
     one = lambda c: rest.select("band", F.col("doc_id").alias(c), F.col("component").alias(f"component_{c}"), F.col("center").alias(f"center_{c}"), F.col("n_shingles").alias(f"n_{c}"), *[F.col(s).alias(f"{s}_{c}") for s in _SKETCH])
     left, right = one("a"), one("b")
     pairs = left.join(right, (left["band"] == right["band"]) & (F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & (F.col("center_a") != F.col("center_b")) & _near(percent))
-    pairs = pairs.select("a", "b").distinct()
-    more = _confirmed(pairs, texts, shingle, percent)
-    # An id whose rows differ in their sets joins the classes of all of them.
-    sets = signed.filter("doc_id is not null").groupBy("doc_id").agg(*[F.min(c).alias(f"{c}_low") for c in same_set], *[F.max(c).alias(f"{c}_high") for c in same_set])
-    several = sets.filter(" or ".join(f"{c}_low <> {c}_high" for c in same_set)).select("doc_id")
-    repeated = usable.join(several, "doc_id", "left_semi").select("doc_id", *same_set).distinct().join(classes, same_set)
-    links = links.unionAll(more).unionAll(repeated.select(F.col("doc_id").alias("a"), F.col("first").alias("b")))
-    final = materialize(connected_components(links), "components")
+    pairs = pairs.select("a", "b", "component_a", "component_b").distinct()
+    more = _compared(pairs, texts, shingle, percent).filter("linked")
+    # These links join whole components.
+    final = connected_components(more.select(F.col("component_a").alias("a"), F.col("component_b").alias("b")))
 
     of_class = classes.filter("size > 1").select(*same_set, "first")
     rows = signed.select("doc_id", *same_set).join(of_class, same_set, "left")
     rows = rows.withColumn("head", F.when(F.col("n_shingles") > 0, F.coalesce("first", "doc_id")).otherwise(F.col("doc_id")))
-    rows = rows.join(final.select(F.col("node").alias("head"), "component"), "head", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "head"))
+    rows = rows.join(joined.select(F.col("node").alias("head"), F.col("component").alias("part")), "head", "left").withColumn("part", F.coalesce("part", "head"))
+    rows = rows.join(final.select(F.col("node").alias("part"), "component"), "part", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "part"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
