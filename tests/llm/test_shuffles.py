@@ -4,9 +4,10 @@ import numpy as np
 import pytest
 from test_operators import components, plain_near, rows
 
-from wiretide.llm import near_duplicates
+from wiretide.llm import cover_tree, near_duplicates
 from wiretide.llm.common import ship_package
 from wiretide.llm.components import connected_components
+from wiretide.sources import storage
 
 HELD = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
 
@@ -37,6 +38,12 @@ def tasks(spark, group, run):
     return found, sum(i.numCompletedTasks for s in stages if (i := tracker.getStageInfo(s)))
 
 
+def shuffled(spark):
+    """Bytes of the shuffles that lie on disk."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).length() for i in range(files.size()))
+
+
 def table(seed):
     """Clusters of near copies, some of which link only with each other, exact copies, and texts that share lines."""
     rng, out = np.random.default_rng(seed), []
@@ -75,3 +82,22 @@ def test_components_of_paths_hubs_and_repeated_links(spark, seed):
 
 def test_components_of_no_links(spark):
     assert rows(connected_components(spark.createDataFrame([(1, 1), (None, 2)], "a long, b long"))) == []
+
+
+def test_vectors_are_written_few_times_and_never_once_a_pair_of_blocks(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(cover_tree, "BLOCK_ROWS", 50)
+    kept = tmp_path / "kept"
+    monkeypatch.setattr(storage, "shared_folder", lambda spark: str(kept))
+    rng = np.random.default_rng(11)
+    vectors = rng.normal(size=(3_000, 64)).astype(np.float32) + 2
+    rows = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>, label int").repartition(4)
+    storage.collect_garbage(spark)
+    before = shuffled(spark)
+    found = cover_tree.near_vectors(rows, cosine=0.9).orderBy("vec_id").collect()
+    unit = vectors.astype(np.float64)
+    unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+    assert [r.n_links for r in found] == ((unit @ unit.T >= 0.9).sum(axis=1) - 1).tolist()
+    assert sum(r.n_links for r in found) > 100
+    written = sum(f.stat().st_size for f in kept.rglob("*") if f.is_file())
+    assert written < 3 * vectors.nbytes
+    assert written + shuffled(spark) - before < 8 * vectors.nbytes

@@ -6,10 +6,15 @@ covering radius. Pairs of blocks, and then pairs of nodes level by level, are dr
 where the distance of their centers exceeds both covering radii and the threshold
 distance, and taken whole where it plus both radii stays within it. What reaches the
 bottom is compared in double precision, so the links are exact.
+
+Vectors are written three times, in the type they came in: as points, placed, and in
+blocks. All else goes by their keys, and pairs of blocks by name: a task reads the
+blocks it compares from the shared folder.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass
 
@@ -17,14 +22,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wiretide.llm.common import row_pass
 from wiretide.llm.components import connected_components
-from wiretide.sources.storage import materialize
+from wiretide.sources.storage import collect_garbage, delete, materialize, reached_by_path, work_folder
 
 COSINE = 0.93
 #: Vectors per block on average, and pivots per label, drawn by hash of the id.
 BLOCK_ROWS, PIVOTS = 1_000, 64
+#: Blocks in a file, which is read for each of them; pivots that are sent to all tasks.
+BLOCKS_PER_FILE, SENT_PIVOTS = 8, 100_000
+#: Vectors whose trees a task keeps, the last used ones.
+TREE_BYTES = 32 << 20
 #: Rounding of distances from inner products of unit vectors; pairs this near a bound go on to the bottom.
 SLACK = 1e-7
 LEVELS = 8
@@ -167,9 +177,9 @@ def _forest(joined: list, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.ndar
     return nodes[moved], nodes[label[moved]]
 
 
-def unit(vector: list | None) -> list | None:
+def unit(vector: list | np.ndarray | None) -> np.ndarray | None:
     """The vector at length 1 in double precision; null where it has no direction."""
-    if not vector or None in vector:
+    if vector is None or not len(vector) or (isinstance(vector, list) and None in vector):
         return None
     v = np.array(vector, dtype=np.float64)
     largest = np.abs(v).max()
@@ -177,13 +187,51 @@ def unit(vector: list | None) -> list | None:
         return None
     # Scaled first, so that squares neither overflow nor vanish; no minus zeros, so that equal vectors are equal.
     v = v / largest
-    return (v / np.sqrt(v @ v) + 0.0).tolist()
+    return v / np.sqrt(v @ v) + 0.0
+
+
+def _vectors(column: pa.Array) -> list:
+    """The vectors of a column, as arrays where no component is null."""
+    values, ends, there = column.values, column.offsets.to_numpy(), column.is_valid().to_pylist()
+    if values.null_count:
+        return column.to_pylist()
+    values = values.to_numpy(zero_copy_only=False)
+    return [values[a:b] if x else None for a, b, x in zip(ends[:-1], ends[1:], there)]
+
+
+def _units(batch: pa.RecordBatch) -> list:
+    """Each row's vector at length 1, none for a row that links with nothing."""
+    ids, labels = batch.column(0).is_valid().to_pylist(), batch.column(2).is_valid().to_pylist()
+    return [unit(v) if i and x else None for i, v, x in zip(ids, _vectors(batch.column(1)), labels)]
 
 
 def _normalised(batch: pa.RecordBatch) -> pa.RecordBatch:
-    ids, labels = batch.column(0), batch.column(2)
-    units = [unit(v) if i is not None and x is not None else None for i, v, x in zip(ids.to_pylist(), batch.column(1).to_pylist(), labels.to_pylist())]
-    return pa.RecordBatch.from_arrays([ids, pa.array(units, type=pa.list_(pa.float64())), labels], names=["id", "v", "label"])
+    return pa.RecordBatch.from_arrays([batch.column(0), pa.array(_units(batch), type=pa.list_(pa.float64())), batch.column(2)], names=["id", "v", "label"])
+
+
+def _keyed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows as they are, with a key that equal vectors share; null where a row links with nothing."""
+    keys = [None if v is None else hashlib.blake2b(v.tobytes(), digest_size=16).digest() for v in _units(batch)]
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, type=pa.binary())], names=["id", "v", "label", "key"])
+
+
+def _written(df: DataFrame, name: str, rows_per_file: int = 0) -> tuple[DataFrame, str]:
+    """The table, written to the shared folder and read back, and where it lies."""
+    path = work_folder(df.sparkSession, name)
+    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def read_block(folder: str, file: str, label: str, block: str, kind: str) -> tuple:
+    """The ids, vectors and tree of a block."""
+    from pyarrow import parquet
+
+    store, path = reached_by_path(folder)
+    table = parquet.read_table(f"{path}/{file}", columns=["label", "block", "ids", "weights", "vectors"], filesystem=store, partitioning=None)
+    at = list(zip(table["label"].to_pylist(), table["block"].to_pylist())).index((label, block))
+    ids, weights = (np.frombuffer(table[c][at].as_buffer(), t) for c, t in (("ids", "<i8"), ("weights", "<f8")))
+    vectors = np.stack([unit(v) for v in np.frombuffer(table["vectors"][at].as_buffer(), kind).reshape(len(ids), -1)])
+    return ids, vectors, build(vectors, weights)
 
 
 def near_vectors(table: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -196,71 +244,87 @@ def near_vectors(table: DataFrame, cosine: float = COSINE, id_col: str = "vec_id
     links of all of them are counted for each.
     """
     vector = F.col(vector_col).cast("array<double>").alias("v")
+    spark = table.sparkSession
+    own = table.schema[vector_col].dataType
+    kind, stored = ("float", "<f4") if isinstance(own, T.ArrayType) and isinstance(own.elementType, T.FloatType) else ("double", "<f8")
+    vector = F.col(vector_col).cast(f"array<{kind}>").alias("v")
     table = table.select(F.col(id_col).cast("long").alias("id"), vector, F.col(label_col).cast("string").alias("label"))
-    rows = row_pass(table, _normalised, "id long, v array<double>, label string")
-    points = rows.filter(F.col("v").isNotNull()).withColumn("label", F.concat_ws("/", F.size("v"), "label"))
-    points = points.groupBy("label", "v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"))
-    points = materialize(points, "points")
+    schema = f"id long, v array<{kind}>, label string"
+    keyed = row_pass(table, _keyed, f"{schema}, key binary")
+    group = F.when(F.col("key").isNotNull(), F.concat_ws("/", F.size("v"), "label")).alias("label")
+    rows = materialize(keyed.select("id", group, "key"), "keys")
+    points = keyed.filter(F.col("key").isNotNull()).select("id", "v", group, "key").groupBy("label", "key")
+    points, written = _written(points.agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"), F.first("v").alias("v")), "points")
 
     # Blocks: the nearest of a label's pivots, cut by hash where one holds too many.
     draw = F.xxhash64(F.lit("pivot"), F.col("id"))
-    sizes = points.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = points.groupBy("label").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK_ROWS)
     wanted = sizes.select("label", F.least(F.lit(PIVOTS), F.ceil(F.col("n") / BLOCK_ROWS)).cast("int").alias("wanted"), "n")
     # A share of each label that holds twice the wanted pivots; the smallest draws of it are taken.
-    likely = points.join(wanted, "label").filter(F.pmod(draw, F.lit(1 << 30)) < F.least(F.lit(1.0), (2 * F.col("wanted") + 20) / F.col("n")) * (1 << 30))
-    first = likely.groupBy("label").agg(F.min("wanted").alias("wanted"), F.sort_array(F.collect_list(F.struct(draw.alias("draw"), F.col("id").alias("pivot"), F.col("v").alias("p")))).alias("all"))
-    pivots = first.select("label", F.slice("all", F.lit(1), F.col("wanted")).alias("pivots"))
+    narrow = points.select("label", "key", "id")
+    likely = narrow.join(wanted, "label").filter(F.pmod(draw, F.lit(1 << 30)) < F.least(F.lit(1.0), (2 * F.col("wanted") + 20) / F.col("n")) * (1 << 30))
+    first = likely.groupBy("label").agg(F.min("wanted").alias("wanted"), F.sort_array(F.collect_list(F.struct(draw.alias("draw"), "key"))).alias("all"))
+    chosen = first.select("label", F.explode(F.slice("all", F.lit(1), F.col("wanted"))).alias("one")).select("label", F.col("one.key").alias("key"))
+    # At most one point in five hundred is a pivot.
+    chosen = points.join(F.broadcast(chosen), ["label", "key"]).select("id", "v", "label")
+    chosen = materialize(row_pass(chosen, _normalised, "id long, v array<double>, label string"), "pivots")
+    pivots = chosen.groupBy("label").agg(F.collect_list(F.struct(F.col("id").alias("pivot"), F.col("v").alias("p"))).alias("pivots"))
     cosine_to = lambda p: F.aggregate(F.zip_with(p, F.col("v"), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     # A label can hold most rows: its pivots are one row, so the join splits well.
-    placed = points.join(pivots, "label", "left").withColumn(
+    placed = points.join(F.broadcast(pivots) if chosen.count() <= SENT_PIVOTS else pivots, "label", "left").withColumn(
         "pivot", F.array_max(F.transform(F.coalesce("pivots", F.array()), lambda p: F.struct(cosine_to(p["p"]).alias("c"), p["pivot"].alias("pivot"))))["pivot"]
     )
-    placed = materialize(placed.select("label", F.coalesce("pivot", F.lit(-1)).alias("pivot"), "id", "weight", "v"), "placed")
-    cells = placed.groupBy("label", "pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("parts"))
-    dealt = placed.join(cells, ["label", "pivot"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    placed = materialize(placed.select("label", F.coalesce("pivot", F.lit(-1)).alias("pivot"), "key", "id", "weight", "v"), "placed")
+    del points, narrow, likely, first
+    delete(spark, written)
+    collect_garbage(spark)
+    points = placed.select("label", "key", "id", "weight")
+    cells = placed.groupBy("label", "pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("parts")).filter("parts > 1")
+    # Fewer than a thousandth of the points.
+    dealt = placed.join(F.broadcast(cells), ["label", "pivot"], "left").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))))
 
     def block(key: tuple, rows: pa.Table) -> pa.Table:
         order = np.argsort(rows.column("id").to_numpy(), kind="stable")
-        vectors = np.stack([np.array(v) for v in rows.column("v").to_pylist()])[order]
+        rows = rows.take(pa.array(order))
+        own = np.stack(_vectors(rows.column("v").combine_chunks()))
+        vectors = np.stack([unit(v) for v in own])
         center = vectors.mean(axis=0)
         length = np.linalg.norm(center)
         center = center / length if length > 0 else vectors[0]
         radius = float(distances(vectors, center[None]).max())
-        ids, weights = rows.column("id").to_numpy()[order], rows.column("weight").to_numpy()[order].astype("<f8")
+        ids, weights = rows.column("id").to_numpy(), rows.column("weight").to_numpy().astype("<f8")
         return pa.table({
             "label": [key[0]], "block": [f"{key[1].as_py()}/{key[2].as_py()}"], "center": [center.tolist()], "radius": [radius],
-            "ids": [ids.astype("<i8").tobytes()], "weights": [weights.tobytes()], "vectors": [vectors.astype("<f8").tobytes()],
+            "ids": [ids.astype("<i8").tobytes()], "weights": [weights.tobytes()], "vectors": [own.astype(stored).tobytes()],
         })
 
-    blocks = dealt.groupBy("label", "pivot", "part").applyInArrow(block, "label string, block string, center array<double>, radius double, ids binary, weights binary, vectors binary")
-    blocks = materialize(blocks, "blocks")
+    schema = f"label string, block string, center array<double>, radius double, ids binary, weights binary, vectors binary"
+    blocks, folder = _written(dealt.groupBy("label", "pivot", "part").applyInArrow(block, schema), "blocks", BLOCKS_PER_FILE)
+    collect_garbage(spark)
 
-    narrow = lambda c: blocks.select("label", F.col("block").alias(c), F.col("center").alias(f"center_{c}"), F.col("radius").alias(f"radius_{c}"))
+    file = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    narrow = lambda c: blocks.select("label", F.col("block").alias(c), F.col("center").alias(f"center_{c}"), F.col("radius").alias(f"radius_{c}"), file.alias(f"file_{c}"))
     # Blocks, not rows, meet here; those out of reach of each other go at once.
     inner = F.aggregate(F.zip_with("center_a", "center_b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     apart = F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * inner))
     reach = math.sqrt(2 - 2 * cosine) + 10 * SLACK
     left, right = narrow("a"), narrow("b")
     units = left.join(right, (left["label"] == right["label"]) & (F.col("a") <= F.col("b")) & (apart <= F.col("radius_a") + F.col("radius_b") + reach))
-    units = units.select(left["label"], "a", "b")
-    whole = lambda c: blocks.select("label", F.col("block").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("ids", "weights", "vectors")])
-    units = units.join(whole("a"), ["label", "a"]).join(whole("b"), ["label", "b"])
-    # Few rows with much work each: one task takes a few.
-    tasks = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    units = units.repartition(4 * tasks)
+    units = units.select(left["label"], "a", "b", "file_a", "file_b")
+    # Few rows with much work each: one task takes a few, of the same blocks where it can.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    units = units.repartitionByRange(4 * tasks, "label", "a", "b").sortWithinPartitions("label", "a", "b")
 
     def compare(batches):
         trees: dict = {}
 
         def side(row: dict, c: str) -> tuple:
             name = (row["label"], row[c])
-            if name not in trees:
-                while len(trees) > 3:
-                    trees.pop(next(iter(trees)))
-                ids, weights = np.frombuffer(row[f"ids_{c}"], "<i8"), np.frombuffer(row[f"weights_{c}"], "<f8")
-                vectors = np.frombuffer(row[f"vectors_{c}"], "<f8").reshape(len(ids), -1)
-                trees[name] = (ids, vectors, build(vectors, weights))
-            return trees[name]
+            found = trees.pop(name, None) or read_block(folder, row[f"file_{c}"], *name, stored)
+            while len(trees) > 3 and sum(t[1].nbytes for t in trees.values()) > TREE_BYTES:
+                trees.pop(next(iter(trees)))
+            trees[name] = found
+            return found
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -279,14 +343,13 @@ def near_vectors(table: DataFrame, cosine: float = COSINE, id_col: str = "vec_id
     found = materialize(units.mapInArrow(compare, "id long, links long, other long"), "vector-links")
     counts = found.filter("other is null").groupBy("id").agg(F.sum("links").alias("links"))
     # An id whose rows differ in their vectors joins the points of all of them.
-    point = F.coalesce(F.xxhash64("v", F.concat_ws("/", F.size("v"), "label")), F.lit(0))
+    point = F.coalesce(F.xxhash64("key", "label"), F.lit(0))
     differ = rows.filter(F.col("id").isNotNull()).groupBy("id").agg(F.min(point).alias("low"), F.max(point).alias("high")).filter("low <> high").select("id")
-    repeated = rows.filter(F.col("v").isNotNull()).join(differ, "id", "left_semi").withColumn("label", F.concat_ws("/", F.size("v"), "label"))
-    repeated = repeated.select(F.col("id").alias("a"), "label", "v").join(points.select("label", "v", F.col("id").alias("b")), ["label", "v"]).select("a", "b")
+    repeated = rows.filter(F.col("key").isNotNull()).join(differ, "id", "left_semi")
+    repeated = repeated.select(F.col("id").alias("a"), "label", "key").join(points.select("label", "key", F.col("id").alias("b")), ["label", "key"]).select("a", "b")
     joined = materialize(connected_components(found.filter("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")).unionAll(repeated)), "vector-components")
-    heads = points.select("label", "v", F.col("id").alias("head")).join(counts.withColumnRenamed("id", "head"), "head", "left")
-    key = F.when(F.col("v").isNotNull(), F.concat_ws("/", F.size("v"), "label"))
-    out = rows.select("id", "v", key.alias("label")).join(heads, ["label", "v"], "left").withColumn("head", F.coalesce("head", "id"))
+    heads = points.select("label", "key", F.col("id").alias("head")).join(counts.withColumnRenamed("id", "head"), "head", "left")
+    out = rows.join(heads, ["label", "key"], "left").withColumn("head", F.coalesce("head", "id"))
     out = out.join(joined.withColumnRenamed("node", "head"), "head", "left")
     component = F.coalesce("component", "head")
     return out.select(
